@@ -48,41 +48,41 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
     return kept if rank else kept.drop(name)
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,
-                   sums: Mapping[str, Column], totals: Mapping[str, str] | None = None) -> DataFrame:
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                   chunk: Column | str, sums: Mapping[str, Column],
+                   totals: Mapping[str, str] | None = None) -> DataFrame:
     """Inclusive running sums per key, in two levels.
 
     ``chunk`` is any non-decreasing function of ``order`` (an hour, an id
-    range). Level one sums each (key, chunk) with map-side combine; level two
-    adds the sums of the key's earlier chunks. Rows are shuffled once, by
-    (key, chunk), so a hot key spreads over as many tasks as it has chunks.
+    range), or the name of a column that already holds one. Level one sums each
+    (key, chunk) with map-side combine; level two adds the sums of the key's
+    earlier chunks. Rows are shuffled once, by (key, chunk), so a hot key
+    spreads over as many tasks as it has chunks.
 
     ``totals`` maps a new column to the name in ``sums`` whose whole-key total
-    it should carry.
+    it should carry. Keys are expected to be non-null: plain equality keeps the
+    join and the window on one exchange.
     """
     keys = list(keys)
-    base = df.withColumn("_chunk", chunk)
-    per_chunk = base.groupBy(*keys, "_chunk").agg(
+    named = isinstance(chunk, str)
+    c = chunk if named else "_chunk"
+    base = df if named else df.withColumn(c, chunk)
+    per_chunk = base.groupBy(*keys, c).agg(
         *[F.sum(expr).alias(f"_sum_{name}") for name, expr in sums.items()])
-    earlier = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_chunk")
-               .rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    earlier = whole.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
+        *keys, c,
         *[F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
           for name in sums],
         *[F.sum(f"_sum_{name}").over(whole).alias(new) for new, name in (totals or {}).items()])
-    on = F.col("_chunk").eqNullSafe(F.col("_k_chunk"))
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    inside = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    inside = (Window.partitionBy(*keys, c).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = base.join(carried, on)
-    out = joined.select(
-        "*", *[(F.col(f"_before_{name}") + F.coalesce(F.sum(expr).over(inside), F.lit(0))).alias(name)
-               for name, expr in sums.items()])
-    return out.drop("_chunk", "_k_chunk", *[f"_k_{k}" for k in keys],
-                    *[f"_before_{name}" for name in sums])
+    joined = base.join(carried, [*keys, c], "left")
+    out = joined.select("*", *[
+        (F.coalesce(F.col(f"_before_{name}"), F.lit(0)) + F.coalesce(F.sum(expr).over(inside), F.lit(0)))
+        .alias(name) for name, expr in sums.items()])
+    return out.drop(*([] if named else [c]), *[f"_before_{name}" for name in sums])
 
 
 def in_segments(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,
