@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.scale import literal_table, top_n
+from ..functions.scale import top_n
 from ..functions.text import none_if_blank, squeeze
 from ..functions.urls import host, path, query_value
 
@@ -83,16 +83,20 @@ def classify_links(links: DataFrame, rules: Sequence[tuple[str, str, int]] = tup
                    order: str = "seq", mode: str = "contains") -> DataFrame:
     """Links by kind with at most N distinct labels per key and kind (EXT4).
 
-    The rules are a small literal table joined by broadcast; each kind keeps the
-    limit of its rule.
+    The rules are a literal array filtered per row, so there is no join; each
+    kind keeps the limit of its rule.
     """
-    table = literal_table(links.sparkSession, [(k, p, n) for k, p, n in rules],
-                          "kind string, pattern string, keep int")
-    hit = (F.contains(F.col(href), F.col("pattern")) if mode == "contains"
-           else F.startswith(path(F.col(href)), F.col("pattern"))
-           | F.startswith(path(F.col(href)), F.concat(F.lit("/index.php"), F.col("pattern"))))
-    tagged = links.join(table, hit).select(*keys, "kind", "keep", F.col(order).alias("ord"),
-                                           squeeze(F.col(text)).alias("label"))
+    table = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(p).alias("pattern"), F.lit(n).alias("keep"))
+                      for k, p, n in rules])
+
+    def hit(rule: Column) -> Column:
+        if mode == "contains":
+            return F.contains(F.col(href), rule["pattern"])
+        return (F.startswith(path(F.col(href)), rule["pattern"])
+                | F.startswith(path(F.col(href)), F.concat(F.lit("/index.php"), rule["pattern"])))
+
+    tagged = links.select(*keys, F.col(order).alias("ord"), squeeze(F.col(text)).alias("label"),
+                          F.inline(F.filter(table, hit)))
     tagged = good_labels(tagged, "label") if mode == "contains" else tagged.where(
         none_if_blank(F.col("label")).isNotNull())
     most = max(n for _, _, n in rules)
