@@ -42,10 +42,16 @@ def dedupe_stream(df: DataFrame, keys: list[str], event_time: str, horizon: str)
 def stream_confirmations(df: DataFrame, key: str, key_type: str, n: int) -> DataFrame:
     """STR4: running success count per key with its status, kept in state.
 
-    Each batch yields one row per touched key. The count is a single number, so
-    state stays small however many deliveries a key has; rows of a hot key are
-    counted in Arrow batches, never gathered.
+    Each batch yields one row per touched key. State is a single number. Rows
+    are combined per Arrow batch before the shuffle, so a hot key sends counts
+    to its task, not its rows.
     """
+    partial = f"{key} {key_type}, successes bigint"
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.groupby(key, as_index=False).size().rename(columns={"size": "successes"})
+
     output = f"{key} {key_type}, successes bigint, status string"
 
     def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -57,7 +63,7 @@ def stream_confirmations(df: DataFrame, key: str, key_type: str, n: int) -> Data
         status = "known" if before >= n else "confirmed" if seen >= n else "replay_pending"
         yield pd.DataFrame({key: [group[0]], "successes": [seen], "status": [status]})
 
-    return df.select(key, F.lit(1).cast("bigint").alias("successes")).groupBy(key).applyInPandasWithState(
+    return df.select(key).mapInPandas(combine, partial).groupBy(key).applyInPandasWithState(
         count, output, "successes bigint", "append", GroupStateTimeout.NoTimeout)
 
 
