@@ -41,7 +41,7 @@ class _Flattener(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "wbr":
             return
-        self._add(tag, [(k, v or "") for k, v in attrs], None)
+        self._add(tag, {k: v or "" for k, v in attrs}, None)
         if tag not in _VOID:
             self.open.append((tag, len(self.rows)))
 

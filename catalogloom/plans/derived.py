@@ -39,7 +39,7 @@ def card_pages(part: DataFrame) -> DataFrame:
     """Listing pages: 1 to 4 cards per part row, with numbers ``10 * key + i``.
 
     Card 2 has no signal at all; card 0 repeats its title link at the end; all
-    but card 1 show a duration; a numeric pager closes the page.
+    but card 1 show a duration; a numeric pager opens the page.
     """
     def card(i: Column) -> Column:
         number = F.col("p_partkey") * 10 + i
@@ -55,8 +55,8 @@ def card_pages(part: DataFrame) -> DataFrame:
     body = _each(1 + F.col("p_size") % 4, card)
     return part.select(
         F.col("p_partkey").alias("page_id"), _cat(CARD_HOST, "/p", _s("p_partkey"), "/").alias("url"),
-        _cat("<html><body><nav><a href='/9/'>9</a></nav>", body, '<a href="/p', _s(F.col("p_size") + 1), '/">',
-             _s(F.col("p_size") + 1), "</a></body></html>").alias("html"))
+        _cat("<html><body><nav><a href='/9/'>9</a><a href=\"/p", _s(F.col("p_size") + 1), '/">',
+             _s(F.col("p_size") + 1), "</a></nav>", body, "</body></html>").alias("html"))
 
 
 def table_pages(part: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def post_pages(part: DataFrame) -> DataFrame:
     entries = _each(count, entry)
     block = F.when(size % 3 == 0, _cat(
         '<div class="sp-wrap"><div class="sp-head">Цикл «', series, '»</div><div class="sp-body">', entries,
-        "</div></div>")).otherwise(_cat("Книги цикла «", series, "»<br>", entries, "конец<br>"))
+        "</div></div>")).otherwise(_cat("<br>Книги цикла «", series, "»<br>", entries, "конец<br>"))
     images = _cat('<img src="/smiles/x.gif"><img width="', _s(size * 20), '" height="', _s(F.lit(600)),
                   '" src="/i/', _s(key), '.jpg"><img src="/plain/', _s(key), '.png">',
                   F.when(size % 4 == 0, _cat('<var class="postImg img-right" title="', POST_HOST, "/v/", _s(key),

@@ -24,6 +24,7 @@ def build_session(master: str | None = None, app: str = "catalogloom", **conf) -
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     defaults.update({k.replace("_", "."): str(v) for k, v in conf.items()})
     for key, value in defaults.items():
