@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions.scale import ordered_text
+from ..functions.measures import size_bytes
 from ..functions.text import squeeze
-from ..functions.urls import absolute, host_allowed, is_web_url
+from ..functions.urls import absolute, first_web_url, host_allowed
 from ..operators import fields, images, links, listing, nodes, series
 from ..sources.pages import decode_pages, read_pages
 from ..sources.parts import explode_playlist, extract_embedded_parts, playlist_status
@@ -116,7 +117,6 @@ def ext2_text(t: Tables):
        + " as text, origin || " + _UNESCAPE.format("href") + " as url from l")
 def ext2_nodes(t: Tables):
     found = nodes.extract_links(nodes.page_nodes(t.pages), t.pages)
-    from pyspark.sql.window import Window
     pos = F.row_number().over(Window.partitionBy("page_id").orderBy("seq"))
     return found.select("page_id", pos.alias("pos"), "href", "text", "url")
 
@@ -167,11 +167,10 @@ select p_partkey % 23 as listing_id, greatest(max(p_size) + 1, 1) as last_page f
 union all select 3, 77""")
 def agg4_state(t: Tables):
     pages = derived.table_pages(t.part)
-    found = nodes.extract_links_from_text(pages).join(pages.select("page_id", "url"), "page_id") if False else \
-        nodes.extract_links(nodes.page_nodes(pages)).join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
+    found = nodes.extract_links(nodes.page_nodes(pages)).join(
+        pages.select("page_id", F.col("url").alias("page_url")), "page_id")
     pager = found.withColumn("listing_id", F.regexp_extract("page_url", r"f=(\d+)", 1).cast("bigint")).where(
-        F.contains("href", F.lit("start=")) & (F.col("listing_id") != 3)).unionByName(
-        found.withColumn("listing_id", F.lit(3).cast("bigint")).where(F.lit(False)))
+        F.contains("href", F.lit("start=")) & (F.col("listing_id") != 3))
     quiet = t.spark.range(3, 4).select(F.col("id").alias("listing_id"), F.lit("/x").alias("href"), F.lit("1").alias("text"))
     seen = pager.select("listing_id", "href", "text").unionByName(quiet)
     before = t.spark.range(0, 23).select(F.col("id").alias("listing_id"), F.lit(77).alias("last_page"))
@@ -211,7 +210,6 @@ select p_partkey as page_id, (p_partkey * 10 + i)::varchar as external_id, p_nam
   floor((p_size + i + 0.5) * power(1024, i % 3 + 1))::bigint as size_bytes, (p_size * 10 + i)::bigint as seeders,
   case when i = 3 then 0 else i end::bigint as leechers from r""")
 def ext6(t: Tables):
-    from ..functions.measures import size_bytes
     tree = nodes.page_nodes(derived.table_pages(t.part))
     rows = listing.extract_table_rows(
         tree, (F.col("tag") == "tr") & nodes.attr("id").startswith("tr-"),
@@ -346,7 +344,7 @@ def _post_items(t: Tables):
         F.col("p_name").alias("title"))
 
 
-@query("jn8_backfilled_positions", "select p_partkey as page_id, (p_size % 3 + 1)::int as series_position from part")
+@query("jn8_backfilled_positions", "select p_partkey as page_id, case when p_size % 2 = 0 and p_size % 3 = 1 then null else (p_size % 3 + 1)::int end as series_position from part")
 def jn8_backfill(t: Tables):
     pages = derived.post_pages(t.part)
     items = _post_items(t)
@@ -379,7 +377,6 @@ with u as (select page_id, url, regexp_extract(url, '^https?://([^/?#:]+)', 1) a
 select page_id, host like '%.example.com' or host = 'example.com' as allowed, url as first_url,
  regexp_extract(url, '^(https?://[^/?#]*)', 1) || '/x' as resolved from u""")
 def flt8(t: Tables):
-    from ..functions.urls import first_web_url
     composite = F.concat(F.lit("see "), "url", F.lit(", or ftp://x/ y"))
     return t.pages.select("page_id", host_allowed(F.col("url"), ["example.com"]).alias("allowed"),
                           first_web_url(composite).alias("first_url"), absolute(F.col("url"), F.lit("/x")).alias("resolved"))
