@@ -12,62 +12,71 @@ from ..functions import fixed
 from ..functions.measures import clock_duration
 from ..functions.scale import ordered_text
 from ..functions.text import squeeze
-from ..functions.urls import host, path
+from ..functions.urls import absolute, path
+from ..session import durable
 from .links import classify_links, derive_keys, is_good_label
-from .nodes import TEXT, attr, extract_links, in_page_order, mark_owner
+from .nodes import TEXT, attr, in_page_order, mark_owner
 
 
-def segment_listing(nodes: DataFrame, pages: DataFrame,
-                    allowed_hosts: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Cards of a listing page and their labels: ``(cards, labels)``.
+def listing_segments(nodes: DataFrame, pages: DataFrame, allowed_hosts: Sequence[str] = ()) -> DataFrame:
+    """Links and texts of listing pages with the title anchor that owns them.
 
-    Each title anchor owns the links and texts up to the next title anchor; a
-    repeated anchor ends a segment without starting a card. Cards without any
-    signal (author, narrator, genre or duration) are dropped.
+    Each title anchor owns what follows it up to the next title anchor; a
+    repeated anchor ends a segment without starting a card. One pass over the
+    nodes: a link with its texts is one row, every other text is a row.
     """
-    links = derive_keys(extract_links(nodes, pages))
-    item_path = path(F.col("url")).rlike(r"^/\d+/?$")
+    is_link = (F.col("tag") == "a") & attr("href").isNotNull()
+    linked = mark_owner(nodes.where(is_link | (F.col("tag") == TEXT)), is_link, "_link")
+    piece = F.when(F.col("tag") == TEXT, F.nullif(squeeze("text"), F.lit("")))
+    units = linked.withColumn("_piece", piece).groupBy(
+        "page_id", F.coalesce("_link", "seq").alias("seq")).agg(
+        F.max(attr("href")).alias("href"), squeeze(ordered_text("_piece", "seq")).alias("text"))
+    based = units.join(pages.select("page_id", F.col("url").alias("_base")), "page_id")
+    keyed = derive_keys(based.withColumn("url", F.when(F.col("href").isNotNull(), absolute(F.col("_base"), F.col("href")))))
+    item_path = F.coalesce(path(F.col("url")).rlike(r"^/\d+/?$"), F.lit(False))
     if allowed_hosts:
         ok = F.lit(False)
         for name in allowed_hosts:
-            ok = ok | F.coalesce(host(F.col("url")).endswith(name), F.lit(False))
+            ok = ok | F.coalesce(F.col("host").endswith(name), F.lit(False))
         item_path = item_path & ok
-    texted = (F.col("text") != "") & ~F.col("text").rlike(r"^\d+$")
+    texted = F.coalesce((F.col("text") != "") & ~F.col("text").rlike(r"^\d+$"), F.lit(False))
     is_title = (item_path & texted & (F.length("text") <= fixed.TITLE_LINK_MAX_LENGTH)
                 & ~F.lower("text").isin(fixed.GENERIC_TITLE_LINKS))
-    empty = F.lit(None).cast("string")
-    link_rows = links.select("page_id", "seq", "href", F.col("text").alias("label"), "url", "external_id",
-                             is_title.alias("is_title"), (item_path & texted).alias("is_break"),
-                             empty.alias("piece"))
-    text_rows = nodes.where(F.col("tag") == TEXT).select(
-        "page_id", "seq", empty.alias("href"), empty.alias("label"), empty.alias("url"),
-        empty.alias("external_id"), F.lit(False).alias("is_title"), F.lit(False).alias("is_break"),
-        F.nullif(squeeze(F.col("text")), F.lit("")).alias("piece"))
-    stream = link_rows.unionByName(text_rows)
-    first_of_id = F.min(F.when(F.col("is_title"), F.col("seq"))).over(
-        Window.partitionBy("page_id", "external_id"))
-    starts = stream.withColumn("_start", F.col("is_title") & (F.col("seq") == first_of_id))
-    opener = F.last(F.when(F.col("is_break") | F.col("_start"),
-                           F.struct("seq", F.col("_start").alias("real"))), ignorenulls=True)
-    owned = (starts.withColumn("_open", opener.over(in_page_order()))
-             .where(F.col("_open.real")).withColumn("card", F.col("_open.seq")))
-    cards = owned.groupBy("page_id", "card").agg(
+    first_of_id = F.min(F.when(F.col("_title"), F.col("seq"))).over(Window.partitionBy("page_id", "external_id"))
+    starts = keyed.withColumns({"_title": is_title, "_break": item_path & texted}).withColumn(
+        "_start", F.col("_title") & (F.col("seq") == first_of_id))
+    opener = F.last(F.when(F.col("_break"), F.struct("seq", F.col("_start").alias("real"))), ignorenulls=True)
+    owned = starts.withColumn("_open", opener.over(in_page_order())).where(F.col("_open.real"))
+    return owned.select("page_id", F.col("_open.seq").alias("card"), "seq", "href", "text", "url", "external_id", "series_id")
+
+
+def listing_cards(segments: DataFrame) -> DataFrame:
+    """One row per card with at least one signal: author, narrator, genre or duration."""
+    kind = F.coalesce(*[F.when(F.contains("href", F.lit(p)), F.lit(k)) for k, p, _ in fixed.CARD_LINK_RULES])
+    inside = (F.col("seq") > F.col("card")) & F.col("href").isNotNull() & is_good_label(F.col("text"))
+    tagged = segments.withColumn("_kind", F.when(inside, kind))
+    named = F.when(F.col("_kind") == "series", F.col("seq"))
+    cards = tagged.groupBy("page_id", "card").agg(
         F.min_by("external_id", "seq").alias("external_id"), F.min_by("url", "seq").alias("external_url"),
-        F.min_by("label", "seq").alias("title"), ordered_text("piece", "seq").alias("segment_text"))
-    links_of_cards = owned.where(F.col("href").isNotNull() & (F.col("seq") > F.col("card"))).select(
-        "page_id", "card", "seq", "href", F.col("label").alias("text"), "url")
-    labels = classify_links(links_of_cards, keys=("page_id", "card"))
-    series_ids = (derive_keys(links_of_cards).where(F.col("series_id").isNotNull()
-                                                    & is_good_label(F.col("text")))
-                  .groupBy("page_id", "card").agg(F.min_by("series_id", "seq").alias("series_id")))
-    signals = labels.groupBy("page_id", "card").agg(
-        F.count_if(F.col("kind") != "series").alias("_signals"),
-        F.max(F.when(F.col("kind") == "series", F.col("label"))).alias("series_name"))
-    kept = (cards.where(is_good_label(F.col("title")))
-            .withColumn("duration_seconds", clock_duration(F.col("segment_text")))
-            .join(signals, ["page_id", "card"], "left").join(series_ids, ["page_id", "card"], "left")
-            .where((F.coalesce("_signals", F.lit(0)) > 0) | (F.col("duration_seconds") > 0)))
-    return kept.drop("_signals", "segment_text"), labels
+        F.min_by("text", "seq").alias("title"),
+        ordered_text("text", "seq").alias("_text"), F.count_if(F.col("_kind") != "series").alias("_signals"),
+        F.min_by("text", named).alias("series_name"),
+        F.min_by("series_id", F.when(F.col("series_id").isNotNull(), named)).alias("series_id"))
+    timed = cards.where(is_good_label(F.col("title"))).withColumn("duration_seconds", clock_duration(F.col("_text")))
+    return timed.where((F.col("_signals") > 0) | (F.col("duration_seconds") > 0)).drop("_signals", "_text")
+
+
+def listing_labels(segments: DataFrame) -> DataFrame:
+    """``(page_id, card, kind, rank, label)``: the labels of every segment."""
+    inside = segments.where(F.col("href").isNotNull() & (F.col("seq") > F.col("card")))
+    return classify_links(inside, keys=("page_id", "card"))
+
+
+def segment_listing(nodes: DataFrame, pages: DataFrame,
+                    allowed_hosts: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """EXT5: cards of a listing page and their labels, from segments kept once."""
+    segments = durable(listing_segments(nodes, pages, allowed_hosts))
+    return listing_cards(segments), listing_labels(segments)
 
 
 def child_index(nodes: DataFrame, name: str = "child") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,32 +18,40 @@ from pyspark.sql.window import Window
 from ..functions.scale import ordered_text
 from ..functions.text import squeeze
 from ..functions.urls import absolute
+from ..session import durable
 
 NODE_SCHEMA = ("page_id bigint, seq int, end_seq int, depth int, parent_seq int, tag string, "
                "attrs map<string,string>, text string")
 TEXT, RAW = "#text", "#raw"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track"}
 _FLUSH_ROWS = 100_000
+_ARROW = pa.schema([
+    ("page_id", pa.int64()), ("seq", pa.int32()), ("end_seq", pa.int32()), ("depth", pa.int32()),
+    ("parent_seq", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string())])
 
 
 class _Flattener(HTMLParser):
     """Pre-order numbering of one page; an end tag closes to its nearest opener."""
 
-    def __init__(self, page_id: int):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.page_id, self.rows, self.open = page_id, [], []
+        self.tags, self.attrs, self.texts = [], [], []
+        self.ends, self.depths, self.parents, self.open = [], [], [], []
 
     def _add(self, tag, attrs, text):
-        parent = self.open[-1][1] if self.open else 0
-        self.rows.append([self.page_id, len(self.rows) + 1, len(self.rows) + 1, len(self.open),
-                          parent, tag, attrs, text])
+        self.tags.append(tag)
+        self.attrs.append(attrs)
+        self.texts.append(text)
+        self.ends.append(len(self.tags))
+        self.depths.append(len(self.open))
+        self.parents.append(self.open[-1][1] if self.open else 0)
 
     def handle_starttag(self, tag, attrs):
         if tag == "wbr":
             return
-        self._add(tag, {k: v or "" for k, v in attrs}, None)
+        self._add(tag, list({k: v or "" for k, v in attrs}.items()), None)
         if tag not in _VOID:
-            self.open.append((tag, len(self.rows)))
+            self.open.append((tag, len(self.tags)))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -51,49 +59,64 @@ class _Flattener(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
-        if at is not None:
-            self._close(at)
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] == tag:
+                self._close(at)
+                return
 
     def handle_data(self, data):
-        raw = bool(self.open) and self.open[-1][0] in ("script", "style")
-        last = self.rows[-1] if self.rows else None
+        kind = RAW if self.open and self.open[-1][0] in ("script", "style") else TEXT
         parent = self.open[-1][1] if self.open else 0
-        kind = RAW if raw else TEXT
-        if last and last[5] == kind and last[4] == parent:
-            last[7] += data
+        if self.tags and self.tags[-1] == kind and self.parents[-1] == parent:
+            self.texts[-1] += data
         else:
             self._add(kind, None, data)
 
     def _close(self, at: int):
         for _, seq in self.open[at:]:
-            self.rows[seq - 1][2] = len(self.rows)
+            self.ends[seq - 1] = len(self.tags)
         del self.open[at:]
 
-    def finish(self) -> list:
+    def finish(self):
         self.close()
         self._close(0)
-        return self.rows
+        return self
+
 
+def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns: list[list] = [[] for _ in _ARROW]
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(values, type=field.type) for values, field in zip(columns, _ARROW)], schema=_ARROW)
+        for values in columns:
+            values.clear()
+        return out
 
-def _flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
-    rows: list = []
     for batch in batches:
-        for page_id, html in zip(batch["page_id"], batch["html"]):
-            parser = _Flattener(page_id)
-            parser.feed(html or "")
-            rows.extend(parser.finish())
-            if len(rows) >= _FLUSH_ROWS:
-                yield pd.DataFrame(rows, columns=names)
-                rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=names)
-
-
-def page_nodes(pages: DataFrame) -> DataFrame:
-    """``(page_id, html)`` to the node table, hash-partitioned by page."""
-    return pages.select("page_id", "html").mapInPandas(_flatten, NODE_SCHEMA).repartition("page_id")
+        for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            page = _Flattener()
+            page.feed(html or "")
+            page.finish()
+            size = len(page.tags)
+            for values, more in zip(columns, (
+                    [page_id] * size, range(1, size + 1), page.ends, page.depths, page.parents,
+                    page.tags, page.attrs, page.texts)):
+                values.extend(more)
+            if len(columns[0]) >= _FLUSH_ROWS:
+                yield flush()
+    if columns[0]:
+        yield flush()
+
+
+def page_nodes(pages: DataFrame, keep: bool = False) -> DataFrame:
+    """``(page_id, html)`` to the node table, hash-partitioned by page.
+
+    ``keep`` writes it to reliable checkpoint storage: set it when several
+    operators read the same nodes, so that pages are tokenized once.
+    """
+    found = pages.select("page_id", "html").mapInArrow(_flatten, NODE_SCHEMA).repartition("page_id")
+    return durable(found) if keep else found
 
 
 def in_page_order() -> Window:

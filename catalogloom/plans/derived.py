@@ -14,6 +14,13 @@ CARD_HOST = "https://cards.example.org"
 POST_HOST = "https://posts.example.org"
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows over all tasks before a page is built from each: a small
+    one-file table would otherwise be tokenized in a single task."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, key)
+
+
 def _cat(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
@@ -53,7 +60,7 @@ def card_pages(part: DataFrame) -> DataFrame:
                     F.when(i == 2, F.lit("")).otherwise(F.concat(labels, duration)), "</div>")
 
     body = _each(1 + F.col("p_size") % 4, card)
-    return part.select(
+    return spread(part, "p_partkey").select(
         F.col("p_partkey").alias("page_id"), _cat(CARD_HOST, "/p", _s("p_partkey"), "/").alias("url"),
         _cat("<html><body><nav><a href='/9/'>9</a><a href=\"/p", _s(F.col("p_size") + 1), '/">',
              _s(F.col("p_size") + 1), "</a></nav>", body, "</body></html>").alias("html"))
@@ -72,7 +79,7 @@ def table_pages(part: DataFrame) -> DataFrame:
                     _s(i), F.when(i == 3, F.lit(" дн")).otherwise(F.lit("")), "</b></td></tr>")
 
     body = _each(1 + F.col("p_size") % 5, row)
-    return part.select(
+    return spread(part, "p_partkey").select(
         F.col("p_partkey").alias("page_id"),
         _cat(POST_HOST, "/forum/viewforum.php?f=", _s(F.col("p_partkey") % 23)).alias("url"),
         _cat('<html><body><table class="forum">', body, "</table>",
@@ -106,7 +113,7 @@ def post_pages(part: DataFrame) -> DataFrame:
                   '" src="/i/', _s(key), '.jpg"><img src="/plain/', _s(key), '.png">',
                   F.when(size % 4 == 0, _cat('<var class="postImg img-right" title="', POST_HOST, "/v/", _s(key),
                                              '.jpg"></var>')).otherwise(F.lit("")))
-    return part.select(
+    return spread(part, "p_partkey").select(
         key.alias("page_id"), _cat(POST_HOST, "/forum/viewtopic.php?t=", _s(key)).alias("url"),
         _cat('<html><body><h1 class="maintitle"><a>', name, '</a></h1><div class="post_body">',
              field("Автор", _cat("Brand ", _s(key % 5))),
@@ -134,7 +141,7 @@ def detail_pages(part: DataFrame) -> DataFrame:
     quoted = _cat('<script>play("', "//media.example.net/q/", _s(key), '.mp3");</script>')
     media = F.when(size % 11 == 0, F.lit("")).when(key % 4 == 0, quoted).otherwise(script)
     notice = F.when(size % 7 == 0, F.lit("Аудиокнига удалена по требованию правообладателя")).otherwise(F.lit(""))
-    return part.select(
+    return spread(part, "p_partkey").select(
         key.alias("page_id"), _cat(CARD_HOST, "/", _s(key), "/").alias("url"),
         _cat('<html><head><title>', F.col("p_name"), " | Shelf</title></head><body><h1>", F.col("p_name"),
              '</h1><div class="book-page-description">', notice, "</div>", media, "</body></html>").alias("html"))
@@ -154,7 +161,7 @@ def playlists(part: DataFrame) -> DataFrame:
 
     count = size % 6
     body = F.when(count > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), item), ",")).otherwise(F.lit(""))
-    return part.select(key.alias("item"), F.concat(F.lit("["), body, F.lit("]")).alias("playlist"))
+    return spread(part, "p_partkey").select(key.alias("item"), F.concat(F.lit("["), body, F.lit("]")).alias("playlist"))
 
 
 def file_lists(part: DataFrame) -> DataFrame:
@@ -166,6 +173,6 @@ def file_lists(part: DataFrame) -> DataFrame:
     extra = F.array(F.struct(F.lit(" ").alias("path"), F.lit("5").alias("length")),
                     F.struct(F.lit("cover.jpg").alias("path"), F.lit("-7").alias("length")))
     tracks = F.transform(F.sequence(F.lit(0), size % 12), track)
-    return part.select(
+    return spread(part, "p_partkey").select(
         key.alias("item"), F.substring(F.sha1(_s(key).cast("binary")), 1, 40).alias("content_key"),
         (key % 5000).cast("int").alias("duration_seconds"), F.concat(extra, tracks).alias("files"))

@@ -14,8 +14,8 @@ from ..sources.parts import explode_playlist, extract_embedded_parts, playlist_s
 from . import derived
 from .registry import Tables, query
 
-_UNESCAPE = ("replace(replace(replace(replace(replace(replace(replace({0},'&lt;','<'),'&gt;','>'),'&quot;','\"'),"
-             "'&#39;',''''),'&copy;','©'),'&middot;','·'),'&amp;','&')")
+_UNESCAPE = ("regexp_replace(replace(replace(replace(replace(replace(replace({0},'&lt;','<'),'&gt;','>'),'&quot;','\"'),"
+             "'&#39;',''''),'&copy;','©'),'&middot;','·'),'&amp;?','&','g')")
 _CLEAN = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
 
 
@@ -188,8 +188,8 @@ cards as (select p_partkey as page_id, (p_partkey * 10 + i)::varchar as external
 @query("ext5_listing_cards", _CARDS_SQL + "select page_id, external_id, title, duration_seconds, series_id, series_name from cards")
 def ext5(t: Tables):
     pages = derived.card_pages(t.part)
-    cards, _ = listing.segment_listing(nodes.page_nodes(pages), pages, ["example.org"])
-    return cards.select("page_id", "external_id", "title", "duration_seconds", "series_id", "series_name")
+    segments = listing.listing_segments(nodes.page_nodes(pages), pages, ["example.org"])
+    return listing.listing_cards(segments).select("page_id", "external_id", "title", "duration_seconds", "series_id", "series_name")
 
 
 @query("ext5_listing_labels", _CARDS_SQL + """
@@ -318,7 +318,7 @@ select page_id, (i + 1)::int as position, 'Tome of ' || p_name || ' ' || (i + 1)
 def ext10(t: Tables):
     pages = derived.post_pages(t.part)
     items = t.part.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("Saga "), "p_type").alias("series_name"))
-    found = series.extract_series_list(nodes.page_nodes(pages), items)
+    found = series.extract_series_list(nodes.page_nodes(pages, keep=True), items)
     return found.select("page_id", F.col("position").cast("int").alias("position"), "raw_title", "href").distinct()
 
 
@@ -331,7 +331,7 @@ select page_id, (i + 1)::int as position, 'Tome of ' || p_name || ' ' || (i + 1)
 from k join part on p_partkey = page_id""".replace("select *, i = 1", "select e.*, i = 1").replace("k join part on p_partkey = page_id", "k join (select p_partkey, p_type from part) q on q.p_partkey = page_id"))
 def jn8(t: Tables):
     pages = derived.post_pages(t.part)
-    return series.series_entries(nodes.page_nodes(pages), _post_items(t)).select(
+    return series.series_entries(nodes.page_nodes(pages, keep=True), _post_items(t)).select(
         "page_id", F.col("position").cast("int").alias("position"), "title", "entry_id", "matched_by")
 
 
@@ -348,7 +348,7 @@ def _post_items(t: Tables):
 def jn8_backfill(t: Tables):
     pages = derived.post_pages(t.part)
     items = _post_items(t)
-    entries = series.series_entries(nodes.page_nodes(pages), items)
+    entries = series.series_entries(nodes.page_nodes(pages, keep=True), items)
     blank = items.withColumn("series_position", F.lit(None).cast("int"))
     return series.backfill_positions(blank, entries).select("page_id", F.col("series_position").cast("int").alias("series_position"))
 

@@ -10,7 +10,7 @@ from ..functions import measures
 from ..functions.scale import running_totals
 from ..functions.text import clean_unicode, natural_key, squeeze, title_key
 from ..operators import catalog, links, people, series, titles
-from .derived import clock
+from .derived import clock, spread
 from .registry import Tables, query
 
 
@@ -85,7 +85,7 @@ _NAME_SQL = ("with n as (select *, " + _CAP.format("split_part(p_name, ' ', 1)")
 
 
 def _names(t: Tables):
-    return t.part.select("*", F.initcap(F.split("p_name", " ")[0]).alias("a"), F.initcap(F.split("p_name", " ")[1]).alias("b"))
+    return spread(t.part, "p_partkey").select("*", F.initcap(F.split("p_name", " ")[0]).alias("a"), F.initcap(F.split("p_name", " ")[1]).alias("b"))
 
 
 def _credits(t: Tables):
