@@ -115,20 +115,31 @@ def apply_changes(catalog: DataFrame, records: DataFrame, tombstones: DataFrame,
                   order: str, values: Sequence[str]) -> DataFrame:
     """STR5: latest delivery wins per key; a tombstone removes, a later record restores.
 
-    A poor delivery never erases a richer row: null values fall back to the
-    stored ones. On equal order the tombstone wins. The catalog has (keys,
-    values, order); removed items disappear from the result.
+    A poor delivery never erases a richer row: each value is the last non-null
+    one, falling back to the stored value. On equal order the tombstone wins.
+    The catalog has (keys, order, values, gone); removed items stay as rows
+    marked ``gone``, so an older record that arrives late cannot revive them.
+    Folding deliveries in one batch or in several gives the same catalog.
     """
     keys = list(keys)
-    deltas = records.select(*keys, order, F.lit(0).alias("_gone"), *values).unionByName(
-        tombstones.select(*keys, order, F.lit(1).alias("_gone"),
+    deltas = records.select(*keys, order, F.lit(False).alias("_gone"), *values).unionByName(
+        tombstones.select(*keys, order, F.lit(True).alias("_gone"),
                           *[F.lit(None).cast(records.schema[v].dataType).alias(v) for v in values]))
     latest = deltas.groupBy(*keys).agg(
-        F.max_by(F.struct(order, "_gone", *values), F.struct(order, "_gone")).alias("_new"))
+        F.max(order).alias("_order"), F.max_by("_gone", F.struct(order, "_gone")).alias("_gone"),
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col(order))).alias(f"_new_{v}") for v in values])
     joined = catalog.join(latest, keys, "full_outer")
-    merged = joined.where(~F.coalesce(F.col("_new._gone") == 1, F.lit(False)))
-    return merged.select(*keys, *[F.coalesce(F.col(f"_new.{v}"), F.col(v)).alias(v) for v in values],
-                         F.coalesce(F.col(f"_new.{order}"), F.col(order)).alias(order))
+    newer = F.col("_order").isNotNull() & (F.col(order).isNull() | (F.col("_order") >= F.col(order)))
+    pick = lambda new, old: F.when(newer, F.coalesce(new, old)).otherwise(F.coalesce(old, new))
+    return joined.select(
+        *keys, F.greatest("_order", order).alias(order),
+        *[pick(F.col(f"_new_{v}"), F.col(v)).alias(v) for v in values],
+        F.coalesce(F.when(newer, F.col("_gone")).otherwise(F.col("gone")), F.lit(False)).alias("gone"))
+
+
+def live(catalog: DataFrame) -> DataFrame:
+    """The catalog without removed items."""
+    return catalog.where(~F.col("gone")).drop("gone")
 
 
 def retry_queue(open_items: DataFrame, failures: DataFrame, terminal: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -536,19 +536,33 @@ def str4_state(t: Tables):
     return incremental.key_state_after(bought.where(F.col("ts") >= cut), "user_id", 13, before)
 
 
-@query("str5_applied_changes", """
-with d as (select user_id, event_id, event_type = 'error' as gone, case when event_type = 'view' then null else event_type end as kind, cast(round(value * 100) as bigint) as cents from events),
-n as (select user_id, arg_max(struct_pack(gone, kind, cents, event_id), event_id) as s from d group by user_id),
+CHANGES_SQL = """
+with d as (select user_id, event_id, event_type = 'error' as gone, case when event_type in ('view', 'error') then null else event_type end as kind,
+  case when event_type = 'error' then null else cast(round(value * 100) as bigint) end as cents from events),
+n as (select user_id, arg_max(gone, event_id) as gone, arg_max(kind, event_id) filter (kind is not null) as kind,
+  arg_max(cents, event_id) filter (cents is not null) as cents, max(event_id) as event_id from d group by user_id),
 c as (select c_custkey as user_id, c_mktsegment as kind, 7 as cents, -1 as event_id from customer)
-select coalesce(c.user_id, n.user_id) as user_id, coalesce(s.kind, c.kind) as kind, coalesce(s.cents, c.cents)::bigint as cents, coalesce(s.event_id, c.event_id)::bigint as event_id
-from c full join n on c.user_id = n.user_id where not coalesce(s.gone, false)""")
+select coalesce(c.user_id, n.user_id) as user_id, coalesce(n.kind, c.kind) as kind, coalesce(n.cents, c.cents)::bigint as cents, coalesce(n.event_id, c.event_id)::bigint as event_id
+from c full join n on c.user_id = n.user_id where not coalesce(n.gone, false)"""
+CATALOG_SCHEMA = "user_id bigint, event_id bigint, kind string, cents bigint, gone boolean"
+
+
+def deliveries(t: Tables):
+    return t.events.select("user_id", "event_id", (F.col("event_type") == "error").alias("gone"),
+                           F.when(~F.col("event_type").isin("view", "error"), F.col("event_type")).alias("kind"),
+                           F.when(F.col("event_type") != "error", _cents("value")).alias("cents"))
+
+
+def stored_catalog(t: Tables):
+    return t.customer.select(F.col("c_custkey").alias("user_id"), F.lit(-1).cast("long").alias("event_id"), F.col("c_mktsegment").alias("kind"),
+                             F.lit(7).cast("long").alias("cents"), F.lit(False).alias("gone"))
+
+
+@query("str5_applied_changes", CHANGES_SQL)
 def str5(t: Tables):
-    deltas = t.events.select("user_id", "event_id", "event_type", F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"),
-                             _cents("value").alias("cents"))
-    stored = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("kind"), F.lit(7).cast("long").alias("cents"),
-                               F.lit(-1).cast("long").alias("event_id"))
-    gone = F.col("event_type") == "error"
-    return incremental.apply_changes(stored, deltas.where(~gone), deltas.where(gone), ["user_id"], "event_id", ["kind", "cents"])
+    deltas = deliveries(t)
+    merged = incremental.apply_changes(stored_catalog(t), deltas.where(~F.col("gone")), deltas.where("gone"), ["user_id"], "event_id", ["kind", "cents"])
+    return incremental.live(merged)
 
 
 @query("str8_retry_queue", """

@@ -36,7 +36,8 @@ def publish_batches(df: DataFrame, path: str, checkpoint: str,
 
 def dedupe_stream(df: DataFrame, keys: list[str], event_time: str, horizon: str) -> DataFrame:
     """STR6: the first delivery of a key within the horizon; state is bounded by it."""
-    return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)
+    timed = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return timed.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)
 
 
 def stream_confirmations(df: DataFrame, key: str, key_type: str, n: int) -> DataFrame:
