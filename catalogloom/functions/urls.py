@@ -73,3 +73,26 @@ def host_allowed(url: Column, allowed_suffixes: list[str]) -> Column:
     for suffix in allowed_suffixes:
         ok = ok | (h == suffix) | h.endswith("." + suffix)
     return F.coalesce(ok, F.lit(False))
+
+
+def listing_url(base: Column, page: Column, style: str, page_size: int = 50) -> Column:
+    """Address of a listing page: ``path`` (/p2/), ``query`` (?p=2) or ``offset`` (&start=50).
+
+    Page 1 has no suffix.
+    """
+    root = F.regexp_replace(base, r"/+$", "")
+    number = page.cast("string")
+    later = {
+        "path": F.concat(root, F.lit("/p"), number, F.lit("/")),
+        "query": F.concat(root, F.lit("/?p="), number),
+        "offset": F.concat(base, F.lit("&start="), ((page - 1) * page_size).cast("string")),
+    }[style]
+    first = base if style == "offset" else F.concat(root, F.lit("/"))
+    return F.when(page > 1, later).otherwise(first)
+
+
+def id_list(c: Column, default: list[int]) -> Column:
+    """``"7, 3,7"`` to distinct ids in order; an empty text means the default list."""
+    ids = F.transform(F.filter(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x) != ""),
+                      lambda x: F.trim(x).cast("int"))
+    return F.when(F.size(ids) > 0, F.array_distinct(ids)).otherwise(F.array(*map(F.lit, default)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.scale import first_by, running_totals, top_n
+from ..functions.urls import listing_url
 from ..operators import catalog, incremental
 from ..operators.nodes import page_nodes, page_text
 from ..sources import feed, files, state
@@ -45,12 +46,17 @@ def agg3(t: Tables):
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
+def _line_chunk() -> Column:
+    """Non-decreasing in the line order; splits even an order with most of all lines."""
+    return F.struct("l_linenumber", F.floor(F.col("l_partkey") / 1_000_000).alias("range"))
+
+
 @query("agg5_nested_lines", """
 with r as (select l_orderkey, l_linenumber, l_partkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as ord from lineitem)
 select l_orderkey, (ord - 1) // 3 as segment, count(*) as lines, string_agg(l_linenumber || ':' || l_partkey, '|' order by ord) as listed from r group by all""")
 def agg5(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    nested = catalog.assemble_nested(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], F.col("l_linenumber"),
+    nested = catalog.assemble_nested(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], _line_chunk(),
                                      ["l_linenumber", "l_partkey"], "lines", rows_per_segment=3)
     listed = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"))), "|")
     return nested.select("l_orderkey", "segment", F.size("lines").cast("long").alias("lines"), listed.alias("listed"))
@@ -133,7 +139,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (partit
  row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as zero_based from lineitem""")
 def win1(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    numbered = running_totals(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], F.col("l_linenumber"), {"position": F.lit(1)})
+    numbered = running_totals(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], _line_chunk(), {"position": F.lit(1)})
     return numbered.withColumn("zero_based", F.col("position") - 1)
 
 
@@ -154,7 +160,7 @@ def win2(t: Tables):
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.greatest(F.lit(0), _cents("o_totalprice") % 100000 - 20000).alias("total"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(
         F.col("l_orderkey") % 10 == 0, 0).otherwise(F.col("l_quantity").cast("long")).alias("w")).join(orders, "l_orderkey")
-    split = files.allocate_proportionally(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], F.col("l_linenumber"), F.col("total"), F.col("w"))
+    split = files.allocate_proportionally(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], _line_chunk(), F.col("total"), F.col("w"))
     return split.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "allocated")
 
 
@@ -173,7 +179,7 @@ select user_id, segment, count(*) as events, min(event_id) as first_event, sum(c
   count(*) filter (event_type = 'purchase') as purchases from s group by all""")
 def win4(t: Tables):
     rows = t.events.select("user_id", "ts", "event_id", "event_type", "value")
-    marked = running_totals(rows, ["user_id"], [F.col("ts"), F.col("event_id")], F.date_trunc("day", "ts"),
+    marked = running_totals(rows, ["user_id"], [F.col("ts"), F.col("event_id")], F.date_trunc("hour", "ts"),
                             {"segment": (F.col("event_type") == "signup").cast("int")})
     return marked.groupBy("user_id", "segment").agg(
         F.count("*").alias("events"), F.min("event_id").alias("first_event"), F.sum(_cents("value")).alias("cents"),
@@ -358,7 +364,7 @@ def rec1(t: Tables):
         F.when(key % 3 == 0, key).alias("duration_seconds"), F.when(key % 4 == 0, F.col("o_orderpriority")).alias("series_name"),
         F.array(F.lit("title"), F.lit("duration")).alias("fields_present"))
     lines = t.lineitem.select(F.lit("cards").alias("source"), _s("l_orderkey").alias("external_id"), "l_linenumber", "l_partkey", "l_suppkey")
-    parts = catalog.assemble_nested(lines, ["source", "external_id"], [F.col(c) for c in _LINE_ORDER], F.col("l_linenumber"), ["l_partkey"], "parts")
+    parts = catalog.assemble_nested(lines, ["source", "external_id"], [F.col(c) for c in _LINE_ORDER], _line_chunk(), ["l_partkey"], "parts")
     records = catalog.project_records(items, parts)
     return records.select(
         "external_id", "title", "description", "duration_seconds", F.size("series").alias("series_entries"),
@@ -492,6 +498,18 @@ def str2(t: Tables):
     return incremental.plan_pages(_cursor_state(t), F.col("backfill")).select("listing_id", "page")
 
 
+@query("str2_planned_addresses", _STATE_SQL + """
+, p2 as (select listing_id, unnest(case when done or backfill = 0 then [1] else list_concat([1], range(start, stop - 1, -1)) end)::int as page from q)
+select listing_id, page, case when page = 1 then 'https://a.example/' else 'https://a.example/p' || page || '/' end as by_path,
+ case when page = 1 then 'https://a.example/' else 'https://a.example/?p=' || page end as by_query,
+ 'https://a.example/l?f=' || listing_id || case when page = 1 then '' else '&start=' || (page - 1) * 50 end as by_offset from p2""")
+def str2_urls(t: Tables):
+    plan = incremental.plan_pages(_cursor_state(t), F.col("backfill"))
+    base, listed = F.lit("https://a.example/"), F.concat(F.lit("https://a.example/l?f="), _s("listing_id"))
+    return plan.select("listing_id", "page", listing_url(base, F.col("page"), "path").alias("by_path"),
+                       listing_url(base, F.col("page"), "query").alias("by_query"), listing_url(listed, F.col("page"), "offset").alias("by_offset"))
+
+
 _NEXT_SQL = _STATE_SQL + """
 , n as (select *, case when done then null when backfill = 0 then coalesce(deep_page, last_page) when stop = 2 then null else stop - 1 end as next_deep,
   case when done then true when backfill = 0 then false else stop = 2 end as next_complete from q)
@@ -525,7 +543,7 @@ select *, case when successes < 13 then 'replay_pending' when successes = 13 the
 def str4(t: Tables):
     bought = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     order = F.struct("ts", "event_id")
-    return incremental.confirm_after_n(bought, "user_id", order, F.date_trunc("day", "ts"), 13).select("event_id", "user_id", "successes", "status")
+    return incremental.confirm_after_n(bought, "user_id", order, F.date_trunc("hour", "ts"), 13).select("event_id", "user_id", "successes", "status")
 
 
 @query("str4_key_state", "select user_id, count(*) as successes, count(*) >= 13 as confirmed from events where event_type = 'purchase' group by 1")

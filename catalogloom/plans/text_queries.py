@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import measures
 from ..functions.scale import running_totals
@@ -380,8 +379,10 @@ def set3(t: Tables):
 select p_partkey, row_number() over (partition by p_brand order by p_size, p_partkey) as place from part""")
 def srt1(t: Tables):
     path = _cat("Disc ", F.when(F.col("p_partkey") % 2 == 0, F.lit("0")).otherwise(F.lit("")), _s("p_size"), "/track ", _s("p_partkey"))
-    ranked = F.row_number().over(Window.partitionBy("p_brand").orderBy(natural_key(path)))
-    return t.part.select("p_partkey", ranked.alias("place"))
+    keyed = t.part.select("p_brand", "p_partkey", natural_key(path).alias("key"))
+    # The first two pieces (disc and number) are a non-decreasing function of the key.
+    placed = running_totals(keyed, ["p_brand"], [F.col("key")], F.slice("key", 1, 2), {"place": F.lit(1)})
+    return placed.select("p_partkey", "place")
 
 
 @query("srt2_stable_entry_order", """

@@ -21,8 +21,10 @@ def build_session(master: str | None = None, app: str = "catalogloom", **conf) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

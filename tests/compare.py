@@ -41,6 +41,14 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+def _widths(df, found) -> str:
+    """Columns whose integer widths differ between the two sides (values are equal)."""
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    sql = {d[0]: str(d[1]) for d in found.description}
+    odd = [f"{c}:{kind}/{sql[c]}" for c, kind in df.dtypes if kinds.get(kind, kind) != sql[c]]
+    return f" [{', '.join(odd)}]" if odd else ""
+
+
 def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> tuple[bool, str]:
     start = time.time()
     df = fn(spark, sf_dir)
@@ -54,7 +62,7 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> tuple[bo
         return False, f"columns {sorted(df.columns)} != {sorted(names)}"
     a, b = rows_of(df.columns, got), rows_of(names, found.fetchall())
     if a == b:
-        return True, f"{len(got)} rows {seconds:.1f}s"
+        return True, f"{len(got)} rows{_widths(df, found)} {seconds:.1f}s"
     only_a, only_b = list((a - b).items()), list((b - a).items())
     return False, (f"{sum(a.values())} vs {sum(b.values())} rows; {sorted(names)}\n   spark only {len(only_a)}: "
                    f"{str(only_a[:2])[:500]}\n   sql only {len(only_b)}: {str(only_b[:2])[:500]}")

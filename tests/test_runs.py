@@ -147,3 +147,9 @@ def test_title_match_equals_brute_force(spark):
     got = titles.match_titles(spark.createDataFrame(bodies, "b int, t string"), spark.createDataFrame(texts, "s int, t string"), "b", "s", "t", "t")
     expected = {(b, s) for b, x in bodies for s, y in texts if len(set(x.split()) & set(y.split())) >= 0.67 * len(set(x.split())) - 1e-9}
     assert {(r.b, r.s) for r in got.collect()} == expected
+
+
+def test_id_lists(spark):
+    from catalogloom.functions.urls import id_list
+    df = spark.createDataFrame([("7, 3,7,,5",), ("",), (None,)], "c string")
+    assert [r.v for r in df.select(id_list(F.col("c"), [1, 2]).alias("v")).collect()] == [[7, 3, 5], [1, 2], [1, 2]]
