@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,15 +15,6 @@ def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Use one value several times without repeating its expression.
-
-    For a single step only: every nested lambda costs the analyzer a pass.
-    Longer chains are staged as columns.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def squeeze(c: Column) -> Column:
     """Collapse every run of Unicode white space and trim."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))

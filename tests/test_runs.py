@@ -125,8 +125,8 @@ def test_late_record_does_not_revive(spark):
 
 def test_confirmation_over_many_batches(spark):
     root = scratch_dir(spark, "confirm")
-    schema, counts, statuses = "key string", {}, []
-    for batch, keys in enumerate([["a", "a", "b"], ["a", "c"], ["a", "b", "b", "b"]]):
+    schema, counts = "key string", {}
+    for keys in [["a", "a", "b"], ["a", "c"], ["a", "b", "b", "b"]]:
         spark.createDataFrame([(k,) for k in keys], schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
         stream = runs.stream_confirmations(spark.readStream.schema(schema).parquet(f"{root}/in"), "key", "string", 3)
         stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/cp").format("parquet").start(f"{root}/out").awaitTermination()
