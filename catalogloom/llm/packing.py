@@ -30,10 +30,9 @@ CAPACITY = 2048
 #: Rows packed together, and tokens after which a block is closed early.
 BLOCK_DOCS = 1024
 BLOCK_TOKENS = 1 << 22
-#: Text encoded at once, distinct units whose ids a worker remembers, and how many of them wait to be merged.
+#: Text encoded at once, and distinct units whose ids a worker remembers.
 BLOCK_BYTES = 1 << 22
 CACHE_WORDS = 1_500_000
-NEW_WORDS = 200_000
 END_ID = 1
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -68,9 +67,7 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        none = np.zeros(0, np.int64)
-        self.keys = self.new_keys = np.zeros(0, np.uint64)
-        self.slots = self.new_slots = none
+        self.memo = W.Memo()
         self.pool = np.zeros(1 << 16, np.uint32)
         self.low = np.zeros(1, np.int64)
 
@@ -101,16 +98,6 @@ class WordIds:
         ends = np.minimum(np.append(starts[1:], n), b.ends[np.searchsorted(b.starts, starts, side="right") - 1])
         return data, starts, ends, covered[starts] & (ascii_only[starts] == ascii_only[ends])
 
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """Slots of known keys, -1 for others."""
-        out = np.full(len(keys), -1)
-        for known, slots in ((self.keys, self.slots), (self.new_keys, self.new_slots)):
-            if len(known):
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                same = known[at] == keys
-                out[same] = slots[at[same]]
-        return out
-
     def _learn(self, keys: np.ndarray, units: list[bytes], plain: np.ndarray) -> None:
         """Encode new units; ``keys`` are sorted."""
         size = np.zeros(len(units), np.int64)
@@ -129,16 +116,8 @@ class WordIds:
         if used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), total), np.uint32)])
         self.pool[used:used + total] = [x for part in ids for x in part]
-        slots = np.arange(len(units)) + len(self.low) - 1
+        self.memo.add(keys, np.arange(len(units)) + len(self.low) - 1)
         self.low = np.concatenate([self.low, used + np.cumsum(size)])
-        merged = np.concatenate([self.new_keys, keys])
-        order = np.argsort(merged, kind="stable")
-        self.new_keys, self.new_slots = merged[order], np.concatenate([self.new_slots, slots])[order]
-        if len(self.new_keys) > NEW_WORDS:
-            merged = np.concatenate([self.keys, self.new_keys])
-            order = np.argsort(merged, kind="stable")
-            self.keys, self.slots = merged[order], np.concatenate([self.slots, self.new_slots])[order]
-            self.new_keys, self.new_slots = self.new_keys[:0], self.new_slots[:0]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, without an end id."""
@@ -151,13 +130,13 @@ class WordIds:
                 self._clear()
             data, starts, ends, plain = self._units(b)
             keys, at, which = np.unique(W.hashes(data, starts, W.SPACED), return_index=True, return_inverse=True)
-            slots = self._find(keys)
+            slots = self.memo.find(keys)
             fresh = np.flatnonzero(slots < 0)
             if len(fresh):
                 raw, first = data.tobytes(), at[fresh]
                 self._learn(keys[fresh], [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())],
                             plain[first])
-                slots = self._find(keys)
+                slots = self.memo.find(keys)
             slot = slots[which]
             size = self.low[slot + 1] - self.low[slot]
             last = np.cumsum(size)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogloom.llm import decontaminate, packing
+from catalogloom.llm import decontaminate, language, packing, secrets, sharding, simhash, tokens
+from catalogloom.llm.shared import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +66,57 @@ def op9_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
         import public_tokenizers
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer)
+
+
+@_query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards, counts at most one apart."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    return sharding.shuffle(rows, 8, ["doc_id", "size", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from the documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    model = language.train(docs.where(rest != 2))
+    found = language.predict(docs.select("doc_id", "text"), model, carry=["doc_id"])
+    return found.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score",
+                        "ambiguous")
+
+
+@_query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Words and greedy word pieces of all documents."""
+    if vocabulary is None:
+        import public_tokenizers
+        vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), vocabulary, carry=["doc_id"])
+
+
+@_query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in all documents; weak parts only with their complements."""
+    strong = F.filter("spans", lambda x: x["strong"])
+    count = lambda kind: F.size(F.filter(strong, lambda x: x["kind"] == kind)).cast("long")
+    return secrets.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secrets.STRONG],
+        F.sha2(secrets.listing(strong), 256).alias("base_sha256"), secrets.listing(F.col("spans")).alias("spans"))
+
+
+@_query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of all texts and their edited forms; near documents of every fiftieth id."""
+    prints = kept(simhash.edited_fingerprints(_table(spark, sf_dir, "documents")), "fingerprints")
+    near = simhash.near_counts(prints.withColumnRenamed("own", "bits"), F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False)))
+    return prints.join(near.withColumnRenamed("bits", "own"), "own", "left").select(
+        "doc_id", "n_chars", "edited_sha256", simhash.as_text(F.col("own")).alias("fingerprint"),
+        simhash.as_text(F.col("edited")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+        simhash.likeness(F.col("own"), F.col("following")).alias("near_next"),
+        F.when(F.col("doc_id") % 50 == 0, F.col("near")).alias("near_documents"))

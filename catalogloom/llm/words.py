@@ -164,3 +164,37 @@ def batches_of(columns: dict[str, pa.Array | list | np.ndarray], schema: pa.Sche
     arrays = [pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array)
               else columns[f.name].cast(f.type) for f in schema]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+class Memo:
+    """Numbers known by hash, in sorted arrays; new ones wait in a small array until there are many."""
+
+    def __init__(self, waiting: int = 200_000):
+        self.waiting = waiting
+        self.keys = self.new_keys = np.zeros(0, np.uint64)
+        self.values = self.new_values = np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys) + len(self.new_keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Values of known keys, -1 for others."""
+        out = np.full(len(keys), -1, np.int64)
+        for known, values in ((self.keys, self.values), (self.new_keys, self.new_values)):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                same = known[at] == keys
+                out[same] = values[at[same]]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.new_keys, self.new_values = self._merged(self.new_keys, self.new_values, keys, values)
+        if len(self.new_keys) > self.waiting:
+            self.keys, self.values = self._merged(self.keys, self.values, self.new_keys, self.new_values)
+            self.new_keys, self.new_values = self.new_keys[:0], self.new_values[:0]
+
+    @staticmethod
+    def _merged(keys, values, more_keys, more_values):
+        keys, values = np.concatenate([keys, more_keys]), np.concatenate([values, more_values])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], values[order]
