@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogloom.llm import decontaminate, language, packing, secrets, sharding, simhash, tokens
+from catalogloom.llm import decontaminate, language, near_dedup, packing, secrets, sharding, simhash, tokens
 from catalogloom.llm.shared import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,24 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
         simhash.likeness(F.col("own"), F.col("following")).alias("near_next"),
         F.when(F.col("doc_id") % 50 == 0, F.col("near")).alias("near_documents"))
+
+
+@_query("op1_near_duplicates", r"""
+with words as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as i from words where len(w) > 0) t),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as common from shingles a join shingles b using (s)
+  where a.doc_id < b.doc_id group by 1, 2),
+links as (select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * common >= 80 * (p.n + q.n - common)),
+edges as (select x, y from links union all select y, x from links),
+reach as (with recursive r(doc_id, other) as (select doc_id, doc_id from documents
+  union select r.doc_id, e.y from r join edges e on e.x = r.other) select doc_id, min(other) as low from r group by doc_id)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, low as component_id, d.doc_id = low as kept
+from documents d left join sizes using (doc_id) join reach on reach.doc_id = d.doc_id
+""")
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their two-word shingles."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
