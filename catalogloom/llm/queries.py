@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogloom.llm import decontaminate, language, near_dedup, packing, secrets, sharding, simhash, tokens
+from catalogloom.llm import (decontaminate, language, near_dedup, packing, secrets, sharding, simhash, substring_dedup,
+                              tokens)
 from catalogloom.llm.shared import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +142,23 @@ from documents d left join sizes using (doc_id) join reach on reach.doc_id = d.d
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share four fifths of their two-word shingles."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
+
+
+@_query("op8_substring_dedup", r"""
+with docs as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+windows as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as win
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from docs where len(w) >= 20) t),
+repeated as (select doc_id, i from (
+  select doc_id, i, row_number() over (partition by win order by doc_id, i) as no from windows) t where no > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as p from repeated),
+words as (select doc_id, generate_subscripts(w, 1) as p, unnest(w) as word from docs),
+stays as (select doc_id, count(*) as n, string_agg(word, ' ' order by p) as txt
+  from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+  sha256(coalesce(txt, '')) as kept_sha256
+from docs left join stays using (doc_id)
+""")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of twenty-word windows that started earlier."""
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

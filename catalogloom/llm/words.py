@@ -21,7 +21,7 @@ BLOCK_BYTES = 1 << 21
 _RANDOM = np.random.default_rng(20240607)
 _BYTE_VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RANDOM.integers(1, 1 << 63, 1 << 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_GRAM = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+GRAM = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _table(delimiters: list[tuple[int, int]]) -> np.ndarray:
@@ -150,7 +150,7 @@ def grams(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total = np.full(n, np.uint64(salt + size), np.uint64)
     for j in range(size):
-        total += words[j:j + n] * _GRAM[j % 64] * np.uint64(2 * (j // 64) + 1)
+        total += words[j:j + n] * GRAM[j % 64] * np.uint64(2 * (j // 64) + 1)
     return mix(total)
 
 
