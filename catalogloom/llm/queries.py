@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogloom.llm import (decontaminate, language, near_dedup, packing, secrets, sharding, simhash, substring_dedup,
-                              tokens)
+from catalogloom.llm import (decontaminate, language, near_dedup, packing, quality, secrets, sharding, simhash,
+                              substring_dedup, tokens)
 from catalogloom.llm.shared import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of twenty-word windows that started earlier."""
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from heuristics that label them."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs), carry=["doc_id"])
