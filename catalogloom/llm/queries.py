@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from catalogloom.llm import (decontaminate, language, near_dedup, packing, quality, secrets, sharding, simhash,
                               substring_dedup, tokens)
-from catalogloom.llm.shared import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,7 +112,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of all texts and their edited forms; near documents of every fiftieth id."""
-    prints = kept(simhash.edited_fingerprints(_table(spark, sf_dir, "documents")), "fingerprints")
+    prints = simhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
     near = simhash.near_counts(prints.withColumnRenamed("own", "bits"), F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False)))
     return prints.join(near.withColumnRenamed("bits", "own"), "own", "left").select(
         "doc_id", "n_chars", "edited_sha256", simhash.as_text(F.col("own")).alias("fingerprint"),

@@ -2,8 +2,9 @@
 
 A term is a run of five words; its weight is how often it occurs. Every term
 votes for the 128 bits of its hash, and a bit is set when most of the weight is
-for it. Votes are added eight to a long, so the work per term is a few
-additions inside one row: no term is ever a row, and nothing is shuffled.
+for it. Terms are counted where their document lies: the grouping follows the
+partitioning of the rows, and eight bits' votes are added in one long, so a
+term costs sixteen additions in generated code.
 
 Near fingerprints are found through permuted block tables: fingerprints within
 ``radius`` bits agree on at least two of ``radius + 2`` blocks, so each pair of
@@ -18,69 +19,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from catalogloom.llm.shared import kept
+
 #: Words in a term; bits of a fingerprint.
 TERM_WORDS = 5
 BITS = 128
 #: Terms whose votes fit into eight bits next to each other, sign bit excluded.
 _LANES = 127
 _ONES = 0x0101010101010101
-#: Ids in a chunk of neighbours, chunks in a group of chunks.
-CHUNK_IDS = 64
-CHUNKS = 4096
-
+#: Two of these eight-bit sums in one long, 32 bits apart.
+_PAIR = 0x000000FF000000FF
+#: Low bits of the ids in a chunk of neighbours, and of the chunks in a group of chunks.
+CHUNK_BITS = 6
+GROUP_BITS = 12
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
 
+def terms(text: Column) -> Column:
+    """Structs ``w0`` to ``w4``, the word hashes of each run of five words; of a shorter sequence one hash as ``w0``.
 
-def term_hashes(text: Column) -> Column:
-    """Hashes of all runs of five words; of the whole sequence when it is shorter; none without words."""
+    A term's hash is ``xxhash64`` of the five. A text without words has none.
+    """
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
 
     def runs(h: Column) -> Column:
         n = F.size(h)
-        shifted = [F.slice(h, F.lit(k + 1), F.greatest(n - (TERM_WORDS - 1), F.lit(0))) for k in range(TERM_WORDS)]
-        zipped = F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(shifted)])
-        long = F.transform(zipped, lambda z: F.xxhash64(*[z[f"w{k}"] for k in range(TERM_WORDS)]))
-        return F.when(n >= TERM_WORDS, long).when(n > 0, F.array(F.xxhash64(h))).otherwise(
-            F.array().cast("array<bigint>"))
-    return _bound(F.transform(words, lambda w: F.xxhash64(w)), runs)
-
-
-def _votes(terms: Column) -> Column:
-    """For each bit the number of terms that have it, as 128 numbers."""
-    names = [f"c{i}" for i in range(16)]
-    zeros = F.struct(*[F.lit(0).cast("long").alias(n) for n in names])
+        names = [f"w{k}" for k in range(TERM_WORDS)]
+        shifted = [F.slice(h, F.lit(k + 1), F.greatest(n - (TERM_WORDS - 1), F.lit(0))).alias(name)
+                   for k, name in enumerate(names)]
+        short = F.array(F.struct(F.xxhash64(h).alias("w0"), *[F.lit(None).cast("long").alias(x) for x in names[1:]]))
+        return F.when(n >= TERM_WORDS, F.arrays_zip(*shifted)).when(n > 0, short)
+    return F.element_at(F.transform(F.array(hashes), runs), 1)
 
-    def add(acc: Column, term: Column) -> Column:
-        halves = (term["a"], term["b"])
-        return F.struct(*[(acc[n] + F.shiftrightunsigned(halves[i // 8], i % 8).bitwiseAND(F.lit(_ONES))).alias(n)
-                          for i, n in enumerate(names)])
 
-    def lane(no: int):
-        return lambda x: F.shiftrightunsigned(x, 8 * no).bitwiseAND(F.lit(255))
+def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys`` and ``bits`` (two longs ``a`` and ``b``) of every row; zero without words.
 
-    def lanes(part: Column) -> Column:
-        packed = F.aggregate(part, zeros, add, lambda acc: F.array(*[acc[n] for n in names]))
-        return _bound(packed, lambda p: F.flatten(F.array(*[F.transform(p, lane(s)) for s in range(8)])))
-
-    pairs = F.transform(terms, lambda t: F.struct(t.alias("a"), F.xxhash64(t, F.lit(1)).alias("b")))
-    blocks = lambda p: F.sequence(F.lit(0), F.greatest(F.ceil(F.size(p) / _LANES).cast("int") - 1, F.lit(0)))
-    return _bound(pairs, lambda p: F.aggregate(
-        blocks(p), F.array_repeat(F.lit(0).cast("long"), BITS),
-        lambda acc, b: F.zip_with(acc, lanes(F.slice(p, b * _LANES + 1, F.lit(_LANES))), lambda x, y: x + y)))
-
-
-def fingerprint(text: Column) -> Column:
-    """Two longs ``a`` and ``b``: the 128 bits of a text; zero without words. Null counts as empty."""
-    def bits(terms: Column) -> Column:
-        n = F.size(terms)
-        word = lambda votes, half: F.aggregate(
-            F.slice(votes, 64 * half + 1, 64), F.lit(0).cast("long"),
-            lambda acc, v: F.shiftleft(acc, 1).bitwiseOR(F.when(v * 2 > n, F.lit(1)).otherwise(F.lit(0)).cast("long")))
-        return _bound(_votes(terms), lambda v: F.struct(word(v, 0).alias("a"), word(v, 1).alias("b")))
-    return _bound(term_hashes(F.coalesce(text, F.lit(""))), bits)
+    ``keys`` tell the rows apart. Rows that are already dealt by some of the
+    keys are not shuffled.
+    """
+    spread = rows.select(*keys, F.posexplode(terms(F.coalesce(F.col(text), F.lit("")))).alias("_at", "_term"))
+    term = F.xxhash64(*[F.col(f"_term.w{k}") for k in range(TERM_WORDS)])
+    hashed = spread.select(*keys, F.floor(F.col("_at") / _LANES).alias("_part"), term.alias("_a")).withColumn("_b", F.xxhash64("_a", F.lit(1)))
+    vote = lambda half, i: F.sum(F.shiftrightunsigned(F.col(half), i).bitwiseAND(F.lit(_ONES)))
+    packed = hashed.groupBy(*keys, "_part").agg(
+        F.count("*").alias("_n"),
+        *[vote(half, i).alias(f"{half}{i}") for half in ("_a", "_b") for i in range(8)])
+    pair = lambda half, i, s: F.sum(F.shiftrightunsigned(F.col(f"{half}{i}"), 8 * s).bitwiseAND(F.lit(_PAIR)))
+    wide = packed.groupBy(*keys).agg(F.sum("_n").alias("_n"), *[
+        pair(half, i, s).alias(f"{half}{i}{s}") for half in ("_a", "_b") for i in range(8) for s in range(4)])
+
+    def word(half: str) -> Column:
+        """Bit ``8 * lane + i`` is set when its votes are more than half; lanes s and s + 4 share a sum."""
+        out = F.lit(0).cast("long")
+        for i in range(8):
+            for s in range(4):
+                both = F.col(f"{half}{i}{s}")
+                for lane, votes in ((s, both.bitwiseAND(F.lit(0xFFFFFFFF))), (s + 4, F.shiftrightunsigned(both, 32))):
+                    bit = 1 << (8 * lane + i)
+                    out = out.bitwiseOR(F.when(votes * 2 > F.col("_n"), F.lit(bit - (1 << 64) if bit >> 63 else bit))
+                                        .otherwise(F.lit(0)).cast("long"))
+        return out
+    return wide.select(*keys, F.struct(word("_a").alias("a"), word("_b").alias("b")).alias("bits"))
 
 
 def as_text(bits: Column) -> Column:
@@ -102,21 +102,22 @@ def with_next(rows: DataFrame, doc_id: str, order: list[str]) -> DataFrame:
 
     Rows with equal ids follow in the given order; null ids come first. Rows
     move once, to chunks of neighbouring ids; the first row of each chunk goes
-    to the chunk before as well.
+    to the chunk before as well. ``_chunk`` and ``_no`` tell the rows apart.
     """
     own = rows.columns
-    chunked = rows.withColumn("_chunk", F.coalesce(F.floor(F.col(doc_id) / CHUNK_IDS), F.lit(-(1 << 60))))
+    chunked = rows.withColumn("_chunk", F.coalesce(F.shiftright(F.col(doc_id), CHUNK_BITS), F.lit(-(1 << 60))))
     inside = Window.partitionBy("_chunk").orderBy(F.col(doc_id).asc_nulls_first(), *order)
     heads = chunked.withColumn("_no", F.row_number().over(inside)).where("_no = 1").select(
         F.col("_chunk").alias("_following"), F.struct(*own).alias("_head"))
     opening = heads.join(_chunk_order(chunked), "_following").select("_chunk", "_head")
-    ahead = chunked.select("*", F.lead(F.struct(*own)).over(inside).alias("_lead"))
-    return ahead.join(opening, "_chunk", "left").select(*own, F.coalesce("_lead", "_head").alias("following"))
+    ahead = chunked.select("*", F.row_number().over(inside).alias("_no"), F.lead(F.struct(*own)).over(inside).alias("_lead"))
+    return ahead.join(opening, "_chunk", "left").select(
+        "_chunk", "_no", *own, F.coalesce("_lead", "_head").alias("following"))
 
 
 def _chunk_order(rows: DataFrame) -> DataFrame:
     """Every chunk and the one that follows it, after the last the first; chunk numbers only."""
-    chunks = rows.select("_chunk").distinct().withColumn("_group", F.floor(F.col("_chunk") / CHUNKS))
+    chunks = rows.select("_chunk").distinct().withColumn("_group", F.shiftright("_chunk", GROUP_BITS))
     groups = chunks.groupBy("_group").agg(F.min("_chunk").alias("_low"))
     whole = Window.orderBy("_group")
     first = F.min("_low").over(Window.partitionBy())
@@ -133,16 +134,24 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     repeated rows stay; a single row follows itself.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"),
-                       F.coalesce(docs[text].cast("string"), F.lit("")).alias("text")).withColumn(
-        "own", fingerprint(F.col("text")))
+                       F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr(F.col("text"), F.lit(1), n - half),
                       F.substr(F.col("following.text"), F.lit(1), half)).alias("edited_text")
     texts = with_next(rows, "doc_id", ["text"]).select(
-        "doc_id", "own", n.cast("long").alias("n_chars"), edited, F.col("following.own").alias("following"))
-    return texts.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "own",
-                        fingerprint(F.col("edited_text")).alias("edited"), "following")
+        "_chunk", "_no", "doc_id", "text", n.cast("long").alias("n_chars"), edited)
+    forms = texts.select("_chunk", "_no", F.inline(F.array(
+        F.struct(F.lit(0).alias("_form"), F.col("text").alias("text")), F.struct(F.lit(1).alias("_form"), F.col("edited_text").alias("text")))))
+    bits = fingerprints(forms, ["_chunk", "_no", "_form"]).groupBy("_chunk", "_no").agg(*[
+        F.max(F.when(F.col("_form") == form, F.col(f"bits.{half}"))).alias(f"{name}_{half}")
+        for form, name in ((0, "own"), (1, "edited")) for half in "ab"])
+    facts = texts.select("_chunk", "_no", "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"))
+    made = kept(facts.join(bits, ["_chunk", "_no"]).select("doc_id", "n_chars", "edited_sha256", *[
+        F.struct(F.col(f"{name}_a").alias("a"), F.col(f"{name}_b").alias("b")).alias(name) for name in ("own", "edited")],
+        "_no"), "fingerprints")
+    return with_next(made.withColumnRenamed("_no", "_place"), "doc_id", ["_place"]).select(
+        "doc_id", "n_chars", "edited_sha256", "own", "edited", F.col("following.own").alias("following"))
 
 
 def block_keys(bits: Column, radius: int) -> Column:
