@@ -214,10 +214,10 @@ def _marked(spark, docs: DataFrame, text: str, carry: list[str], block: tuple, f
 
     if first:
         return map_texts(docs, text, carry, fields, maker)
-    before = docs.withColumnsRenamed({"hits": "_hits", "items": "_items"})
-    both = map_texts(before, text, [*carry, "_hits", "_items"], fields, maker)
-    return both.withColumn("hits", _united(F.concat("_hits", "hits"))).withColumn(
-        "items", F.array_sort(F.array_union("_items", "items"))).drop("_hits", "_items")
+    before = docs.withColumnsRenamed({"hits": "__hits_before", "items": "__items_before"})
+    both = map_texts(before, text, [*carry, "__hits_before", "__items_before"], fields, maker)
+    return both.withColumn("hits", _united(F.concat("__hits_before", "hits"))).withColumn(
+        "items", F.array_sort(F.array_union("__items_before", "items"))).drop("__hits_before", "__items_before")
 
 
 def _united(runs):

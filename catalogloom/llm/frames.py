@@ -25,7 +25,7 @@ def map_texts(docs: DataFrame, text: str, carry: Sequence[str] | None, fields: s
     kept = [c for c in (docs.columns if carry is None else carry) if c not in names]
     schema = T.StructType([docs.schema[c] for c in kept] + list(new.fields))
     arrow = to_arrow_schema(new)
-    source = docs.select(docs[text].cast("string").alias("_text"), *[docs[c] for c in kept])
+    source = docs.select(docs[text].cast("string").alias("_0"), *[docs[c].alias(f"_{i + 1}") for i, c in enumerate(kept)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = maker()

@@ -68,24 +68,24 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int
     own = [c for c in (carry or [doc_id]) if c != "spans"]
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     row = F.md5(F.concat(F.coalesce(docs[doc_id].cast("string"), F.lit("-")), F.lit("\n"), body))
-    table = kept(docs.select(*[docs[c] for c in own], row.alias("_row"),
-                             F.concat(*[_matches(body, k) for k in range(len(PARTS))]).alias("_found")), "secrets")
-    spans = linked(parts(table), scope).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
+    table = kept(docs.select(*[docs[c] for c in own], row.alias("__row"),
+                             F.concat(*[_matches(body, k) for k in range(len(PARTS))]).alias("__found")), "secrets")
+    spans = linked(parts(table), scope).groupBy("__row").agg(F.array_sort(F.collect_list(F.struct(
         "begin", "order", "kind", "end", "strong"))).alias("spans"))
     nothing = F.array().cast("array<struct<begin:bigint,order:int,kind:string,end:bigint,strong:boolean>>")
-    return table.join(spans, "_row", "left").select(*own, F.coalesce("spans", nothing).alias("spans"))
+    return table.join(spans, "__row", "left").select(*own, F.coalesce("spans", nothing).alias("spans"))
 
 
 def parts(table: DataFrame) -> DataFrame:
     """One row per match that holds, with its position; repeated rows count once."""
-    single = table.where(F.size("_found") > 0).groupBy("_row").agg(F.first("_found").alias("_found"))
-    before = Window.partitionBy("_row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    placed = single.select("_row", F.inline("_found")).select(
-        "_row", "kind", "len", "valid", F.sum(F.col("gap").cast("long") + F.col("len")).over(before).alias("end"))
+    single = table.where(F.size("__found") > 0).groupBy("__row").agg(F.first("__found").alias("__found"))
+    before = Window.partitionBy("__row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
+    placed = single.select("__row", F.inline("__found")).select(
+        "__row", "kind", "len", "valid", F.sum(F.col("gap").cast("long") + F.col("len")).over(before).alias("end"))
     names = F.array(*[F.lit(p[0]) for p in PARTS])
     roles = F.array(*[F.lit(p[1]) for p in PARTS])
     return placed.where("valid").select(
-        "_row", F.col("kind").alias("order"), names[F.col("kind")].alias("kind"), roles[F.col("kind")].alias("role"),
+        "__row", F.col("kind").alias("order"), names[F.col("kind")].alias("kind"), roles[F.col("kind")].alias("role"),
         (F.col("kind") < len(STRONG)).alias("strong"), (F.col("end") - F.col("len")).alias("begin"), "end")
 
 
@@ -95,14 +95,14 @@ def linked(found: DataFrame, scope: int) -> DataFrame:
     weak = found.where(~F.col("strong")).withColumn(
         "_cell", F.explode(F.sequence(cell(F.col("begin")), cell(F.col("end")))))
     near = found.select(
-        F.col("_row").alias("_other"), F.col("role").alias("_role"), F.col("begin").alias("_begin"),
+        F.col("__row").alias("_other"), F.col("role").alias("_role"), F.col("begin").alias("_begin"),
         F.col("end").alias("_end"),
         F.explode(F.sequence(cell(F.col("begin")) - 1, cell(F.col("end")) + 1)).alias("_at"))
     fits = reduce(lambda a, b: a | b, [(F.col("kind") == kind) & F.col("_role").isin(*roles)
                                        for kind, roles in COMPLEMENTS.items()])
     in_scope = (F.col("begin") - F.col("_end") <= scope) & (F.col("_begin") - F.col("end") <= scope)
-    joined = weak.join(near, (F.col("_row") == F.col("_other")) & (F.col("_cell") == F.col("_at")) & fits & in_scope,
-                       "left_semi").drop("_cell").dropDuplicates(["_row", "order", "begin"])
+    joined = weak.join(near, (F.col("__row") == F.col("_other")) & (F.col("_cell") == F.col("_at")) & fits & in_scope,
+                       "left_semi").drop("_cell").dropDuplicates(["__row", "order", "begin"])
     return found.where("strong").unionByName(joined)
 
 

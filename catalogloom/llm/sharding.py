@@ -77,27 +77,27 @@ def shuffle(rows: DataFrame, shards: int, identity: list[str], seed: int = 17) -
     keys = [F.col(c) for c in identity]
     n = rows.count()
     homes = min(MAX_HOMES, max(shards, -(-n // HOME_ROWS)))
-    at_home = rows.select(*own, F.pmod(_random(seed, *keys), F.lit(homes)).cast("int").alias("_home"))
-    counts = dict(at_home.groupBy("_home").count().collect())
+    at_home = rows.select(*own, F.pmod(_random(seed, *keys), F.lit(homes)).cast("int").alias("__home"))
+    counts = dict(at_home.groupBy("__home").count().collect())
     n = sum(counts.values())
     sizes = [n // shards + (s < n % shards) for s in range(shards)]
     matrix = communication_matrix([counts.get(h, 0) for h in range(homes)], sizes, seed)
     dealt = json.dumps(np.cumsum(np.array(matrix, dtype=np.int64).reshape(homes, shards), axis=1).tolist())
     table = F.broadcast(spark.range(1).select(
-        F.posexplode(F.from_json(F.lit(dealt), "array<array<bigint>>")).alias("_home", "_upto")))
+        F.posexplode(F.from_json(F.lit(dealt), "array<array<bigint>>")).alias("__home", "__upto")))
 
     order = [_random(seed + 1, *keys), *keys]
-    permuted = at_home.withColumn("_rank", F.row_number().over(Window.partitionBy("_home").orderBy(*order)))
-    sent = permuted.join(table, "_home").select(
-        *own, F.size(F.filter("_upto", lambda c: c < F.col("_rank"))).alias("shard"))
+    permuted = at_home.withColumn("__rank", F.row_number().over(Window.partitionBy("__home").orderBy(*order)))
+    sent = permuted.join(table, "__home").select(
+        *own, F.size(F.filter("__upto", lambda c: c < F.col("__rank"))).alias("shard"))
 
     buckets = max(1, -(-n // (shards * BUCKET_ROWS)))
     again = _random(seed + 2, F.col("shard"), *keys)
-    inner = Window.partitionBy("shard", "_bucket")
-    received = sent.withColumn("_bucket", F.pmod(again, F.lit(buckets)).cast("int")).select(
-        "*", F.row_number().over(inner.orderBy(_random(seed + 3, *keys), *keys)).alias("_place"))
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = received.groupBy("shard", "_bucket").agg(F.max("_place").cast("long").alias("_n")).select(
-        "shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return received.join(offsets, ["shard", "_bucket"]).select(
-        *own, "shard", (F.col("_offset") + F.col("_place") - 1).alias("slot"))
+    inner = Window.partitionBy("shard", "__bucket")
+    received = sent.withColumn("__bucket", F.pmod(again, F.lit(buckets)).cast("int")).select(
+        "*", F.row_number().over(inner.orderBy(_random(seed + 3, *keys), *keys)).alias("__place"))
+    before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = received.groupBy("shard", "__bucket").agg(F.max("__place").cast("long").alias("__n")).select(
+        "shard", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    return received.join(offsets, ["shard", "__bucket"]).select(
+        *own, "shard", (F.col("__offset") + F.col("__place") - 1).alias("slot"))

@@ -53,7 +53,7 @@ def terms(text: Column) -> Column:
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys`` and ``bits`` (two longs ``a`` and ``b``) of every row; zero without words.
+    """``keys`` and ``bits`` (two longs ``a`` and ``b``) of every row with words; without words all bits are zero.
 
     ``keys`` tell the rows apart. Rows that are already dealt by some of the
     keys are not shuffled.
@@ -147,8 +147,9 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         F.max(F.when(F.col("_form") == form, F.col(f"bits.{half}"))).alias(f"{name}_{half}")
         for form, name in ((0, "own"), (1, "edited")) for half in "ab"])
     facts = texts.select("_chunk", "_no", "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"))
-    made = kept(facts.join(bits, ["_chunk", "_no"]).select("doc_id", "n_chars", "edited_sha256", *[
-        F.struct(F.col(f"{name}_a").alias("a"), F.col(f"{name}_b").alias("b")).alias(name) for name in ("own", "edited")],
+    made = kept(facts.join(bits, ["_chunk", "_no"], "left").select("doc_id", "n_chars", "edited_sha256", *[
+        F.struct(*[F.coalesce(f"{name}_{half}", F.lit(0).cast("long")).alias(half) for half in "ab"]).alias(name)
+        for name in ("own", "edited")],
         "_no"), "fingerprints")
     return with_next(made.withColumnRenamed("_no", "_place"), "doc_id", ["_place"]).select(
         "doc_id", "n_chars", "edited_sha256", "own", "edited", F.col("following.own").alias("following"))

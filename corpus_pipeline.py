@@ -26,7 +26,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     chosen = near_dedup.near_duplicates(docs).where(F.col("kept") & F.col("doc_id").isNotNull())
     same = Window.partitionBy("doc_id").orderBy("text")
     single = docs.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").withColumn(
-        "_no", F.row_number().over(same)).where("_no = 1")
+        "__no", F.row_number().over(same)).where("__no = 1")
     return single.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
