@@ -192,10 +192,11 @@ def score(docs: DataFrame, model: dict, text: str = "text", carry: list[str] | N
         m = shared.value
 
         def work(texts: pa.Array):
-            scores, labels = [], []
+            scores, labels, worded = [], [], []
             for b in W.word_blocks(texts, limit=STEP_BYTES):
                 n = len(b.rows)
                 some = np.diff(b.first) > 0
+                worded.append(some)
                 if not some.any():
                     scores.append(np.zeros(n))
                     labels += [None] * n
@@ -209,6 +210,6 @@ def score(docs: DataFrame, model: dict, text: str = "text", carry: list[str] | N
                     mean += np.bincount(row, weights[bucket], n) / np.maximum(np.bincount(row, minlength=n), 1)
                 scores.append(np.where(some, 1 / (1 + np.exp(-2 * mean)), 0.0))
             every = np.concatenate(scores) if scores else np.zeros(0)
-            return {"score": every, "weak_label": labels, "kept": every >= least}
+            return {"score": every, "weak_label": labels, "kept": (every >= least) & np.concatenate(worded) if worded else []}
         return work
     return map_texts(docs, text, carry, "score double, weak_label double, kept boolean", maker)
