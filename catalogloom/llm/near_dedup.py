@@ -420,6 +420,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         linked = roots.join(lowest, "root").select("a", "b", "low")
         names = names.join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("low", "rep").alias("rep"))
     return rows.drop("sig").join(names, ["a", "b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("rep", "doc_id")).otherwise(
-            F.col("doc_id")).alias("component_id")).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(
+            F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("component_id")).select(
         "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
