@@ -5,15 +5,19 @@ tokens. A tree starts with all classes in one node; a node chooses one or two
 signature places by its own hash, and every class goes on to the child named by
 its token there, 1.25 children on average, so a pair at the threshold stays
 together in one child in expectation. Nodes of at most ``LEAF`` classes are
-compared exhaustively by signature. A larger node compares its members with one
-pivot and branches on; it is closed when all its members hang together by
-strong links. ``TREES`` independent trees bring the chance to miss a pair at the
-threshold below one in ten thousand.
+compared exhaustively by signature; larger ones branch on. ``TREES``
+independent trees bring the chance to miss a pair at the threshold below one in
+ten thousand.
 
 Signatures only propose pairs; a link counts when the full shingle sets confirm
-it. Pairs are confirmed in waves, each component's likeliest first, and pairs
-that have become connected meanwhile need no confirmation. No proposed pair is
-dropped otherwise.
+it. The first ``SCOUTS`` trees propose each class's likeliest pairs, so that
+large groups are connected early, by confirmed links. The other trees propose
+every pair between different components: in a large node, up to ``PIVOTS``
+classes outside its largest component are compared with all others and taken
+out, and the node is finished when the rest is one component, because pairs
+inside a component decide nothing. Proposals are confirmed in waves, likeliest
+first; those whose ends have been connected meanwhile need no confirmation, and
+no other is dropped.
 """
 
 from __future__ import annotations
@@ -31,14 +35,18 @@ from catalogloom.llm.components import components
 from catalogloom.llm.frames import map_texts
 from catalogloom.llm.shared import kept
 
-PLACES = 128
+PLACES = 192
 TREES = 12
 LEAF = 64
-#: A node's members per task; the pivot goes to all tasks of its node.
+#: Trees that go first, levels they look at, and pivots and pairs of a class that they take.
+SCOUTS, SCOUT_LEVELS, SCOUT_PIVOTS, SCOUT_PAIRS = 3, 3, 16, 2
+#: Classes of a large node that are compared with all others at a level.
+PIVOTS = 64
+#: A node's members per task; with more, one pivot goes to all tasks of its node.
 SPLIT = 8_192
-#: Signature agreement above which a pair is likely enough to hold components together, and distance below the
-#: threshold (in standard deviations of the agreement) from which on pairs are proposed.
-STRONG = 0.06
+#: Pairs of a class in a node that are confirmed first; its others are packed and confirmed if need be.
+FIRST_PAIRS = 4
+#: Distance below the threshold (in standard deviations of the agreement) from which on pairs are proposed.
 SLACK = 3.4
 #: Pairs each component confirms in a wave; then all that are left.
 WAVES = (1, 4, 16)
@@ -128,146 +136,129 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), PLACES)
 
 
-def _roots(classes: DataFrame, steps: int, trees: int) -> DataFrame:
+def _roots(classes: DataFrame, steps: int, trees: range) -> DataFrame:
     """Members of the nodes at the first level that is looked at."""
-    start = W.mix(np.arange(1, trees + 1, dtype=np.uint64))
+    start = W.mix(np.arange(trees.start + 1, trees.stop + 1, dtype=np.uint64))
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 4096):
                 part = batch.slice(low, 4096)
                 sig, ids = _matrix(part.column(1)), part.column(0).to_numpy()
-                row, node = _descend(sig, np.tile(np.arange(len(ids)), trees), np.repeat(start, len(ids)), steps)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[row]),
-                                                  pa.array(np.zeros(len(row), np.int64))],
-                                                 names=["node", "id", "mark"])
-    return classes.select("id", "sig").mapInArrow(run, "node long, id long, mark long")
+                row, node = _descend(sig, np.tile(np.arange(len(ids)), len(start)), np.repeat(start, len(ids)), steps)
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[row])],
+                                                 names=["node", "id"])
+    return classes.select("id", "sig").mapInArrow(run, "node long, id long")
 
 
-_FOUND = "kind int, p long, q long, mark long, est double, rest array<long>"
+_FOUND = "kind int, p long, q long, est double, rest array<long>"
 _EDGE, _REST, _MEMBER = 0, 1, 2
 
 
-def _compare(level: DataFrame, low: float, strong: float, threshold: float) -> DataFrame:
-    """Edges, packed weak pairs and next members from the sorted members of nodes.
+def _compare(level: DataFrame, low: float, threshold: float, scout: bool, last: bool) -> DataFrame:
+    """Pairs to confirm, packed pairs and next members from the sorted members of nodes.
 
-    Rows: node, salt, first (the pivot of a large node), n (members of the
-    node), id, mark, size, sig.
+    Rows: node, salt, first (the pivot of a node of several tasks), n (members
+    of the node), id, mark (its component or itself), size, sig.
     """
     def run(batches):
         held = None
         for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
             node, salt = table["node"].to_numpy(), table["salt"].to_numpy()
             cut = np.flatnonzero((node[1:] != node[:-1]) | (salt[1:] != salt[:-1])) + 1
             if not len(cut):
                 held = table
                 continue
-            yield from _groups(table.slice(0, int(cut[-1])), low, strong, threshold)
+            yield from _groups(table.slice(0, int(cut[-1])), low, threshold, scout, last)
             held = table.slice(int(cut[-1]))
         if held is not None and held.num_rows:
-            yield from _groups(held, low, strong, threshold)
+            yield from _groups(held, low, threshold, scout, last)
     return level.mapInArrow(run, _FOUND)
 
 
-def _groups(table: pa.Table, low: float, strong: float, threshold: float):
+def _groups(table: pa.Table, low: float, threshold: float, scout: bool, last: bool):
     node, salt = table["node"].to_numpy(), table["salt"].to_numpy()
     ids, mark, size, n = (table[c].to_numpy() for c in ("id", "mark", "size", "n"))
     sig = _matrix(table["sig"].combine_chunks())
     begin = np.append(0, np.flatnonzero((node[1:] != node[:-1]) | (salt[1:] != salt[:-1])) + 1)
     length = np.diff(np.append(begin, len(node)))
     large = n[begin] > LEAF
-    out = {name: [] for name in ("kind", "p", "q", "mark", "est", "rest")}
+    found, children = [], []
 
-    def add(kind, p, q, m, est, rest=None):
-        out["kind"].append(np.full(len(p), kind, np.int32))
-        for name, value in (("p", p), ("q", q), ("mark", m), ("est", est)):
-            out[name].append(value)
-        out["rest"] += rest if rest is not None else [None] * len(p)
+    def propose(group, i, j):
+        fits = (mark[i] != mark[j]) & (np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]))
+        group, i, j = group[fits], i[fits], j[fits]
+        est = np.concatenate([(sig[i[k:k + 65536]] == sig[j[k:k + 65536]]).mean(axis=1)
+                              for k in range(0, len(i), 65536)] or [np.zeros(0)])
+        fits = est >= low
+        found.append((group[fits], i[fits], j[fits], est[fits]))
 
-    def estimate(i, j):
-        return np.concatenate([(sig[i[k:k + 65536]] == sig[j[k:k + 65536]]).mean(axis=1)
-                               for k in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
-
-    near_size = lambda i, j: np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j])
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     for s in np.unique(length[~large]):
-        if s < 2:
-            continue
         at = begin[~large & (length == s)]
         one, two = np.triu_indices(int(s), 1)
-        for k in range(0, len(at), max(1, (1 << 18) // len(one))):
-            some = at[k:k + max(1, (1 << 18) // len(one))]
-            i, j = (some[:, None] + one).ravel(), (some[:, None] + two).ravel()
-            group = np.repeat(some, len(one))
-            fits = near_size(i, j)
-            i, j, group = i[fits], j[fits], group[fits]
-            est = estimate(i, j)
-            fits = est >= low
-            found.append((group[fits], i[fits], j[fits], est[fits]))
+        step = max(1, (1 << 18) // max(1, len(one)))
+        for k in range(0, len(at) if s > 1 else 0, step):
+            some = at[k:k + step]
+            propose(np.repeat(some, len(one)), (some[:, None] + one).ravel(), (some[:, None] + two).ravel())
+    for g in np.flatnonzero(large):
+        members = np.arange(begin[g], begin[g] + length[g])
+        if n[begin[g]] > SPLIT:
+            pivots = members[:1]
+        elif scout:
+            pivots = members[:SCOUT_PIVOTS]
+        else:
+            names, count = np.unique(mark[members], return_counts=True)
+            pivots = members[mark[members] != names[count.argmax()]]
+        done = not scout and n[begin[g]] <= SPLIT and len(pivots) <= PIVOTS
+        pivots = pivots[:PIVOTS]
+        rest = members[~np.isin(members, pivots)]
+        for k, pivot in enumerate(pivots):
+            others = np.append(pivots[k + 1:], rest)
+            propose(np.full(len(others), begin[g]), np.full(len(others), pivot), others)
+        if last if scout else done:
+            continue
+        onward = members if scout else rest if n[begin[g]] <= SPLIT or salt[begin[g]] else members[1:]
+        row, child = _descend(sig[onward], np.arange(len(onward)),
+                              np.full(len(onward), node[begin[g]]).view(np.uint64), 1)
+        children.append((child.view(np.int64), ids[onward][row]))
+    made = []
     if found:
         group, i, j, est = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((-est, group))
         group, i, j, est = group[order], i[order], j[order], est[order]
-        edges, rest = _reduced(group, i, j, est, strong)
-        p, q = ids[i[edges]], ids[j[edges]]
-        add(_EDGE, np.minimum(p, q), np.maximum(p, q), np.zeros(len(p), np.int64), est[edges])
-        if rest:
-            add(_REST, np.array([ids[r[0]] for r in rest]), np.array([ids[r[1]] for r in rest]),
-                np.zeros(len(rest), np.int64), np.zeros(len(rest)),
-                [[int(x) for k in r[2] for x in sorted((ids[i[k]], ids[j[k]]))] for r in rest])
-    for g in np.flatnonzero(large):
-        pivot, others = begin[g], np.arange(begin[g] + 1, begin[g] + length[g])
-        est = estimate(np.full(len(others), pivot), others)
-        fits = (est >= low) & near_size(np.full(len(others), pivot), others)
-        p = ids[others[fits]]
-        add(_EDGE, np.minimum(p, ids[pivot]), np.maximum(p, ids[pivot]), np.zeros(len(p), np.int64), est[fits])
-        close = (est >= strong) & fits
-        known = mark[others[close]][mark[others[close]] != 0]
-        target = mark[pivot] or (known.min() if len(known) else ids[pivot])
-        new = mark[others].copy()
-        new[close & (new == 0)] = target
-        members = others if salt[pivot] else np.append(pivot, others)
-        marks = new if salt[pivot] else np.append(target, new)
-        row, child = _descend(sig[members], np.arange(len(members)),
-                              np.full(len(members), node[pivot]).view(np.uint64), 1)
-        add(_MEMBER, child.view(np.int64), ids[members][row], marks[row], np.zeros(len(row)))
-    if out["kind"]:
-        columns = [np.concatenate(out[c]) for c in ("kind", "p", "q", "mark", "est")]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(out["rest"], pa.list_(pa.int64()))],
-                                         names=["kind", "p", "q", "mark", "est", "rest"])
-
-
-def _reduced(group, i, j, est, strong):
-    """Of each leaf's pairs: a forest of the strongest strong ones, the three likeliest weak ones between any two of
-    its trees, and the other weak ones packed by trees. Pairs inside a tree are connected already."""
-    edges: list[int] = []
-    packed: list[tuple[int, int, list[int]]] = []
+        first = _likeliest(group, i, j, SCOUT_PAIRS if scout else FIRST_PAIRS)
+        p, q = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+        made.append((_EDGE, p[first], q[first], est[first], [None] * int(first.sum())))
+        packed = np.flatnonzero(~first)
+        if len(packed) and not scout:
+            parts = np.split(packed, np.flatnonzero(i[packed][1:] != i[packed][:-1]) + 1)
+            made.append((_REST, p[[k[0] for k in parts]], q[[k[0] for k in parts]], np.zeros(len(parts)),
+                         [np.stack([p[k], q[k]], axis=1).ravel().tolist() for k in parts]))
+    for node_ids, member_ids in children:
+        made.append((_MEMBER, node_ids, member_ids, np.zeros(len(node_ids)), [None] * len(node_ids)))
+    for kind, p, q, est, rest in made:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(p), kind, np.int32)), pa.array(p), pa.array(q), pa.array(est),
+             pa.array(rest, pa.list_(pa.int64()))], names=["kind", "p", "q", "est", "rest"])
+
+
+def _likeliest(group: np.ndarray, i: np.ndarray, j: np.ndarray, pairs: int) -> np.ndarray:
+    """Flags, in groups sorted by likelihood, pairs one of whose ends has fewer than ``pairs`` flagged ones before."""
+    out = np.ones(len(group), bool)
     cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group)) if len(group) else [0]
     for low, high in zip(cuts[:-1], cuts[1:]):
-        if high - low == 1:
-            edges.append(low)
+        if high - low <= pairs:
             continue
-        parent: dict[int, int] = {}
-
-        def root(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-        weak: dict[tuple[int, int], list[int]] = {}
-        for k in range(low, high):
-            x, y = root(int(i[k])), root(int(j[k]))
-            if est[k] >= strong:
-                if x != y:
-                    parent[x] = y
-                    edges.append(k)
-            elif x != y:
-                weak.setdefault((min(x, y), max(x, y)), []).append(k)
-        for (x, y), ks in weak.items():
-            edges += ks[:3]
-            if len(ks) > 3:
-                packed.append((x, y, ks[3:]))
-    return np.array(edges, np.int64), packed
+        taken: dict[int, int] = {}
+        for k, (x, y) in enumerate(zip(i[low:high].tolist(), j[low:high].tolist()), low):
+            a, b = taken.get(x, 0), taken.get(y, 0)
+            if a >= pairs and b >= pairs:
+                out[k] = False
+            else:
+                taken[x], taken[y] = a + 1, b + 1
+    return out
 
 
 def _full_sets(docs: DataFrame, doc_id: str, text: str, size: int, wanted: DataFrame) -> DataFrame:
@@ -313,31 +304,32 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.select("x", "y", "_x", "_y").mapInArrow(run, "x long, y long, linked boolean")
 
 
-def _candidates(classes: DataFrame, threshold: float, trees: int) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs (x, y, est), and packed weak pairs (x, y, rest), from all trees."""
-    spread = math.sqrt(threshold * (1 - threshold) / PLACES)
-    low, strong = threshold - SLACK * spread, threshold + STRONG
-    total = classes.count()
-    steps = max(0, math.ceil(math.log(max(1, total / LEAF)) / math.log(12)))
+def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool) -> tuple[DataFrame, DataFrame]:
+    """Proposed pairs (x, y, est) and packed pairs (rest) of some trees; ``classes`` has ``mark``."""
+    low = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / PLACES)
+    steps = max(0, math.ceil(math.log(max(1, classes.count() / LEAF)) / math.log(12)))
     members = _roots(classes, steps, trees)
-    signed = classes.select("id", F.col("n").alias("size"), "sig")
+    signed = classes.select("id", "mark", F.col("n").alias("size"), "sig")
     edges, rest = [], []
     while True:
-        nodes = members.groupBy("node").agg(
-            F.count("*").alias("n"), F.min("mark").alias("_low"), F.max("mark").alias("_high"),
-            F.min_by("id", F.struct(F.col("mark") != 0, F.col("id"))).alias("_pivot"))
-        open_nodes = nodes.where("n > 1 and (_low = 0 or _low != _high)").select("node", "n", "_pivot")
-        salts = F.when(F.col("n") > LEAF, F.ceil(F.col("n") / SPLIT)).otherwise(1).cast("int")
-        first = (F.col("id") == F.col("_pivot")) & (F.col("n") > LEAF)
-        placed = members.join(open_nodes, "node").join(signed, "id").select(
+        if not scout:
+            members = members.join(classes.select("id", "mark"), "id")
+        marks = F.lit(0) if scout else F.col("mark")
+        nodes = members.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("_pivot"), *(
+            [] if scout else [F.min(marks).alias("_low"), F.max(marks).alias("_high")]))
+        open_nodes = nodes.where("n > 1" if scout else "n > 1 and _low != _high").select("node", "n", "_pivot")
+        salts = F.when(F.col("n") > SPLIT, F.ceil(F.col("n") / SPLIT)).otherwise(1).cast("int")
+        first = F.col("id") == F.col("_pivot")
+        placed = members.select("node", "id").join(open_nodes, "node").join(signed, "id").select(
             "node", F.explode(F.when(first, F.sequence(F.lit(0), salts - 1)).otherwise(
                 F.array(F.pmod("id", salts).cast("int")))).alias("salt"),
             first.alias("first"), "n", "id", "mark", "size", "sig")
-        sorted_level = placed.repartition("node", "salt").sortWithinPartitions("node", "salt", F.desc("first"))
-        found = kept(_compare(sorted_level, low, strong, threshold), "level")
+        sorted_level = placed.repartition("node", "salt").sortWithinPartitions("node", "salt", F.desc("first"), "id")
+        last = len(edges) + 1 == SCOUT_LEVELS
+        found = kept(_compare(sorted_level, low, threshold, scout, last), "level")
         edges.append(found.where(f"kind = {_EDGE}").select(F.col("p").alias("x"), F.col("q").alias("y"), "est"))
-        rest.append(found.where(f"kind = {_REST}").select(F.col("p").alias("x"), F.col("q").alias("y"), "rest"))
-        members = found.where(f"kind = {_MEMBER}").select(F.col("p").alias("node"), F.col("q").alias("id"), "mark")
+        rest.append(found.where(f"kind = {_REST}").select("rest"))
+        members = found.where(f"kind = {_MEMBER}").select(F.col("p").alias("node"), F.col("q").alias("id"))
         if members.isEmpty():
             break
     return _union(edges), _union(rest)
@@ -400,19 +392,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = kept(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sig").alias("sig")).select(
         F.col("a").alias("id"), "b", "rep", "n", "sig"), "classes")
-    found, packed = _candidates(classes, threshold, trees)
-    pairs = kept(found.groupBy("x", "y").agg(F.max("est").alias("est")), "pairs")
-    weak = kept(packed, "weak")
-    involved = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).union(
-        weak.select(F.explode("rest"))).distinct()
-    sets = kept(_full_sets(docs, doc_id, text, shingle, classes.select("id", "rep").join(involved, "id")), "sets")
     links: list[DataFrame] = []
     tried: list[DataFrame] = []
-    labels = _confirmed(pairs, sets, threshold, links, tried, None)
-    flat = _relabelled(weak, labels).select(F.explode(F.expr(
+    labels = None
+    for some, scout in ((range(min(SCOUTS, trees)), True), (range(min(SCOUTS, trees), max(trees, SCOUTS + 1)), False)):
+        marked = classes.withColumn("mark", F.col("id")) if labels is None else classes.join(labels, "id", "left").select(
+            classes["*"], F.coalesce("root", "id").alias("mark"))
+        found, packed = _candidates(marked, threshold, some, scout)
+        pairs = kept(found.groupBy("x", "y").agg(F.max("est").alias("est")), "pairs")
+        wanted = pairs.select(F.col("x").alias("id")).union(pairs.select("y"))
+        if not scout:
+            wanted = wanted.union(packed.select(F.explode("rest")))
+        wanted = wanted.distinct() if not tried else wanted.distinct().join(sets.select("id"), "id", "left_anti")
+        more = kept(_full_sets(docs, doc_id, text, shingle, classes.select("id", "rep").join(wanted, "id")), "sets")
+        sets = more if not tried else sets.unionByName(more)
+        labels = _confirmed(pairs, sets, threshold, links, tried, labels)
+    others = packed.select(F.explode(F.expr(
         "transform(sequence(0, size(rest) div 2 - 1), i -> struct(rest[2 * i] as x, rest[2 * i + 1] as y))")).alias("p"))
-    more = kept(flat.select("p.x", "p.y", F.lit(0.0).alias("est")).distinct(), "pairs")
-    labels = _confirmed(more, sets, threshold, links, tried, labels)
+    left = kept(_relabelled(others.select("p.x", "p.y").distinct(), labels).select("x", "y", F.lit(0.0).alias("est")),
+                "pairs")
+    labels = _confirmed(left, sets, threshold, links, tried, labels)
     names = classes.select(F.col("id").alias("a"), "b", "rep")
     if labels is not None:
         roots = names.join(labels.withColumnRenamed("id", "a"), "a")
