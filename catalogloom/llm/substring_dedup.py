@@ -221,13 +221,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     text. Rows without id come after all others. Repeated rows (same id and
     text) are one document and treated alike. Other columns are not read.
     """
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text")).select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"),
-        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("t"), F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(_LAST)).alias("d"), docs[text].cast("string").alias("text")).select(
+        "d", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("t"), F.coalesce("text", F.lit("")).alias("text"))
     runs = repeated_runs(rows, size).distinct().groupBy("d", "t").agg(
         F.collect_list(F.struct("begin", "stop")).alias("runs"))
-    joined = rows.join(runs, ["d", "t"], "left").select("text", "runs", "doc_id")
-    kind = docs.schema[doc_id].dataType.simpleString()
+    joined = rows.join(runs, ["d", "t"], "left").select("text", "runs", "d")
 
     def run(batches):
         for batch in batches:
@@ -245,8 +244,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 texts.append(_joined(b, stays))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), pa.array(np.concatenate(n_words)), pa.array(np.concatenate(n_removed)),
-                 pa.concat_arrays(texts)], names=["doc_id", "n_words", "n_removed", "kept_text"])
-    return joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_text string")
+                 pa.concat_arrays(texts)], names=["d", "n_words", "n_removed", "kept_text"])
+    done = joined.mapInArrow(run, "d long, n_words long, n_removed long, kept_text string")
+    return done.select(F.when(F.col("d") != _LAST, F.col("d")).cast(kind).alias("doc_id"), "n_words", "n_removed", "kept_text")
 
 
 def _joined(b: W.Block, stays: np.ndarray) -> pa.Array:
