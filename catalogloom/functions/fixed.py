@@ -139,7 +139,7 @@ AUTHOR_LEADING_LABEL = r"(?U)^(?iu:автор\s+стихов\s+и\s+текста
 AUTHOR_LEADING_WORD = r"(?U)^[Аа]втор\s+(?=[A-ZА-ЯЁ])"
 AUTHOR_LEADING_TITLE = r"(?U)^(?iu:профессор|академик)\s+(?=[A-ZА-ЯЁ])"
 AUTHOR_ROLE = r"(?iU)\s+[-–—]\s+(?:идея|стихи|текст|сценарий|составитель)\s*$"
-AUTHOR_TRANSLATOR = r"(?iU)\s*\(\s*(?:перевод|пер\.)[^()]*\)\s*$"
+AUTHOR_TRANSLATOR = r"(?iU)\s*\(\s*(?:перевод|пер\.)\b[^()]*\)\s*$"
 HONORIFIC = (r"(?iU)^(?:(?:(?:заслуженн(?:ый|ая|ые)|народн(?:ый|ая|ые))\s+|(?:засл|нар)\.\s*)"
              r"артист(?:ка|ы)?(?:\s+(?:РФ|России|СССР))?)\s*[,;:—–-]*\s*")
 NARRATOR_NOT_READER = r"(?iU)^(?:(?:синхронный\s+)?перевод(?:чик|чики)?\b|реж(?:исс[её]р)?\.?\s*[:：])"

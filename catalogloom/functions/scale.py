@@ -22,14 +22,9 @@ LITERAL_ROWS_LIMIT = 2_000
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A rule table written in code, marked for broadcast.
-
-    The bound is checked: a table beyond it is data, not rules, and must come
-    from storage so that Spark chooses the join.
-    """
-    if len(rows) > LITERAL_ROWS_LIMIT:
-        raise ValueError(f"{len(rows)} rows is too many for a literal rule table")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A rule table written in code; marked for broadcast while it is small, else Spark chooses the join."""
+    table = spark.createDataFrame(list(rows), schema)
+    return F.broadcast(table) if len(rows) <= LITERAL_ROWS_LIMIT else table
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -60,29 +55,28 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     spreads over as many tasks as it has chunks.
 
     ``totals`` maps a new column to the name in ``sums`` whose whole-key total
-    it should carry. Keys are expected to be non-null: plain equality keeps the
-    join and the window on one exchange.
+    it should carry. A null key or chunk is a value like others: rows meet in
+    a struct of key and chunk, in which nulls are equal.
     """
     keys = list(keys)
     named = isinstance(chunk, str)
     c = chunk if named else "_chunk"
-    base = df if named else df.withColumn(c, chunk)
-    per_chunk = base.groupBy(*keys, c).agg(
-        *[F.sum(expr).alias(f"_sum_{name}") for name, expr in sums.items()])
-    whole = Window.partitionBy(*(keys or [F.lit(0)]))
-    earlier = whole.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
+    base = (df if named else df.withColumn(c, chunk)).withColumn("_cell", F.struct(*keys, c))
+    per_chunk = base.groupBy("_cell").agg(*[F.sum(expr).alias(f"_sum_{name}") for name, expr in sums.items()])
+    whole = Window.partitionBy(*([F.col("_cell")[k] for k in keys] or [F.lit(0)]))
+    earlier = whole.orderBy(F.col("_cell")[c]).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
-        *keys, c,
+        "_cell",
         *[F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
           for name in sums],
         *[F.sum(f"_sum_{name}").over(whole).alias(new) for new, name in (totals or {}).items()])
-    inside = (Window.partitionBy(*keys, c).orderBy(*order)
+    inside = (Window.partitionBy("_cell").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = base.join(carried, [*keys, c], "left")
+    joined = base.join(carried, "_cell", "left")
     out = joined.select("*", *[
         (F.coalesce(F.col(f"_before_{name}"), F.lit(0)) + F.coalesce(F.sum(expr).over(inside), F.lit(0)))
         .alias(name) for name, expr in sums.items()])
-    return out.drop(*([] if named else [c]), *[f"_before_{name}" for name in sums])
+    return out.drop("_cell", *([] if named else [c]), *[f"_before_{name}" for name in sums])
 
 
 def in_segments(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.scale import in_segments, literal_table
+from ..functions.scale import literal_table, running_totals
 from ..functions.text import none_if_blank, squeeze
 from ..functions.urls import host, path
 from ..sources.files import part_url
@@ -240,18 +240,23 @@ def roll_up_measures(items: DataFrame, parts: DataFrame, key: str, stated: str =
         stated, F.coalesce(F.nullif(F.col(stated), F.lit(0)), F.col("_sum"), F.lit(0))).drop("_sum")
 
 
+def numbered_children(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,
+                      payload: Sequence[str], rank: str = "ord") -> DataFrame:
+    """AGG5, flat: one row per child with its position under its key, however many a key has."""
+    return running_totals(rows, keys, order, chunk, {rank: F.lit(1)}).select(*keys, rank, *payload)
+
+
 def assemble_nested(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,
-                    payload: Sequence[str], out: str, rows_per_segment: int = 10_000) -> DataFrame:
-    """AGG5: rows to ordered arrays of structs, one array per (key, segment).
+                    payload: Sequence[str], out: str) -> DataFrame:
+    """AGG5: one row per key with the ordered array of its children.
 
-    A key has one segment unless it owns more than ``rows_per_segment`` rows;
-    no array outgrows a task and no row is dropped.
+    Meant for the children of one source document (parts, files, entries),
+    whose number that document bounds; a feed of keys without such a bound
+    keeps :func:`numbered_children`.
     """
-    numbered = in_segments(rows, keys, order, chunk, rows_per_segment, rank="_ord")
-    nested = numbered.groupBy(*keys, "segment").agg(
+    nested = numbered_children(rows, keys, order, chunk, payload, "_ord").groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("_ord", *payload))).alias("_rows"))
-    plain = F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in payload]))
-    return nested.select(*keys, "segment", plain.alias(out))
+    return nested.select(*keys, F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in payload])).alias(out))
 
 
 RECORD_DEFAULTS = {
@@ -263,15 +268,15 @@ def project_records(items: DataFrame, parts: DataFrame | None = None, manifests:
                     entries: DataFrame | None = None, keys: Sequence[str] = ("source", "external_id")) -> DataFrame:
     """REC1: items to nested feed records with the contract's defaults.
 
-    Nested inputs come from :func:`assemble_nested`; an item with several
-    segments yields one record row per segment, each carrying its parts.
+    One record per item row. Nested inputs come from :func:`assemble_nested`,
+    with one row per item; an item without parts has an empty array.
     """
     keys = list(keys)
     base = items
     if parts is not None:
         base = base.join(parts, keys, "left")
     if entries is not None:
-        base = base.join(entries.drop("segment"), keys, "left")
+        base = base.join(entries, keys, "left")
     if manifests is not None:
         cols = [c for c in manifests.columns if c not in keys]
         base = base.join(manifests.select(*keys, F.struct(*cols).alias("manifest")), keys, "left")
@@ -293,8 +298,7 @@ def project_records(items: DataFrame, parts: DataFrame | None = None, manifests:
         F.sort_array(array("fields_present")).alias("fields_present"),
         (F.col("complete") if "complete" in have else F.lit(True)).alias("complete"),
         F.when(named, F.array(series)).otherwise(empty_series).alias("series"),
-        *([F.col("segment"), F.coalesce("parts", F.array().cast(dict(base.dtypes)["parts"])).alias("parts")]
-          if "parts" in have and "segment" in have else []),
+        *([F.coalesce("parts", F.array().cast(dict(base.dtypes)["parts"])).alias("parts")] if "parts" in have else []),
         *([F.col("manifest")] if manifests is not None else []))
 
 

@@ -38,20 +38,22 @@ def src1(t: Tables):
                      F.sum(F.length("html")).alias("characters"))
 
 
-@query("src2_decode_pages", """
-select doc_id, case when doc_id % 4 = 0 then 'declared' else 'cp1251' end as decoded_as,
-  md5(case when doc_id % 4 = 0 then text else 'Привет ' || doc_id end) as digest from documents""")
+_LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(chr(c) for c in range(0xA1, 0x100))
+_CYRILLIC = "".join(chr(0x410 + i % 64) for i in range(len(_LATIN)))
+
+
+@query("src2_decode_pages", f"""
+select doc_id, case when doc_id % 4 < 2 then 'declared' else 'cp1251' end as decoded_as,
+  md5(case when doc_id % 4 = 0 then text else translate(text, '{_LATIN}', '{_CYRILLIC}') end) as digest from documents""")
 def src2(t: Tables):
-    cyrillic = F.concat(F.lit("Привет "), F.col("doc_id").cast("string"))
-    high = "".join(sorted(set("Привет")))
-    codes = F.translate(cyrillic, high, high.encode("cp1251").decode("latin-1"))
-    raw = t.documents.select("doc_id", F.when(F.col("doc_id") % 4 == 0, F.col("text").cast("binary")).otherwise(
+    kind = F.col("doc_id") % 4
+    letters = "".join(dict.fromkeys(_CYRILLIC))
+    codes = F.translate(F.translate("text", _LATIN, _CYRILLIC), letters, letters.encode("cp1251").decode("latin-1"))
+    raw = t.documents.select("doc_id", F.when(kind == 0, F.col("text").cast("binary")).otherwise(
         F.encode(codes, "ISO-8859-1")).alias("content"),
-        F.when(F.col("doc_id") % 4 == 0, "UTF-8").when(F.col("doc_id") % 4 == 1, "windows-1251").when(
-            F.col("doc_id") % 4 == 2, "no-such-charset").alias("charset"))
-    out = decode_pages(raw, "content", "charset")
-    label = F.when((F.col("doc_id") % 4 == 1) & (F.col("decoded_as") == "declared"), "cp1251").otherwise(F.col("decoded_as"))
-    return out.select("doc_id", label.alias("decoded_as"), F.md5(F.col("text").cast("binary")).alias("digest"))
+        F.when(kind == 0, "UTF-8").when(kind == 1, "windows-1251").when(kind == 2, "no-such-charset").alias("charset"))
+    return decode_pages(raw, "content", "charset").select(
+        "doc_id", "decoded_as", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query("src3_explode_playlist", """
@@ -163,17 +165,17 @@ def agg4(t: Tables):
 
 
 @query("agg4_last_page_of_listings", """
-select p_partkey % 23 as listing_id, greatest(max(p_size) + 1, 1) as last_page from part where p_partkey % 23 <> 3 group by 1
-union all select 3, 77""")
+select p_partkey % 23 as listing_id, greatest(max(p_size) + 1, 1) as last_page from part group by 1
+union all select 23, 77""")
 def agg4_state(t: Tables):
     pages = derived.table_pages(t.part)
     found = nodes.extract_links(nodes.page_nodes(pages)).join(
         pages.select("page_id", F.col("url").alias("page_url")), "page_id")
     pager = found.withColumn("listing_id", F.regexp_extract("page_url", r"f=(\d+)", 1).cast("bigint")).where(
-        F.contains("href", F.lit("start=")) & (F.col("listing_id") != 3))
-    quiet = t.spark.range(3, 4).select(F.col("id").alias("listing_id"), F.lit("/x").alias("href"), F.lit("1").alias("text"))
+        F.contains("href", F.lit("start=")))
+    quiet = t.spark.range(23, 24).select(F.col("id").alias("listing_id"), F.lit("/x").alias("href"), F.lit("1").alias("text"))
     seen = pager.select("listing_id", "href", "text").unionByName(quiet)
-    before = t.spark.range(0, 23).select(F.col("id").alias("listing_id"), F.lit(77).alias("last_page"))
+    before = t.spark.range(0, 24).select(F.col("id").alias("listing_id"), F.lit(77).alias("last_page"))
     return links.last_page_per_listing(seen, ["listing_id"], previous=before)
 
 
@@ -365,11 +367,11 @@ def ext11(t: Tables):
 
 @query("ext11_longest_block", "with c as (select page_id, " + _plain("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)") + " as a, "
        + _plain("regexp_extract(html, '<footer>([^<]*)</footer>', 1)") + """ as b from pages)
-select page_id, substr(case when length(a) >= length(b) then a else b end, 1, 100) as text from c""")
+select page_id, substr(case when length(a) >= length(b) then a else b end, 1, 5000) as text from c""")
 def ext11_longest(t: Tables):
     tree = nodes.page_nodes(t.pages)
     texts = nodes.element_texts(tree, (F.col("tag") == "footer") | ((F.col("tag") == "div") & nodes.has_class("ad")))
-    return fields.choose_longest(texts, ["page_id"], "text", "element", limit=100)
+    return fields.choose_longest(texts, ["page_id"], "text", "element")
 
 
 @query("flt8_url_policy", r"""

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -40,6 +42,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[["Tables"], D
     """Register ``fn(tables)`` under a name, with equivalent SQL when there is one."""
     def register(fn: Callable[[Tables], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")

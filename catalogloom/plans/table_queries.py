@@ -53,13 +53,13 @@ def _line_chunk() -> Column:
 
 @query("agg5_nested_lines", """
 with r as (select l_orderkey, l_linenumber, l_partkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as ord from lineitem)
-select l_orderkey, (ord - 1) // 3 as segment, count(*) as lines, string_agg(l_linenumber || ':' || l_partkey, '|' order by ord) as listed from r group by all""")
+select l_orderkey, count(*) as lines, string_agg(l_linenumber || ':' || l_partkey, '|' order by ord) as listed from r group by all""")
 def agg5(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     nested = catalog.assemble_nested(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], _line_chunk(),
-                                     ["l_linenumber", "l_partkey"], "lines", rows_per_segment=3)
+                                     ["l_linenumber", "l_partkey"], "lines")
     listed = F.array_join(F.transform("lines", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"))), "|")
-    return nested.select("l_orderkey", "segment", F.size("lines").cast("long").alias("lines"), listed.alias("listed"))
+    return nested.select("l_orderkey", F.size("lines").cast("long").alias("lines"), listed.alias("listed"))
 
 
 _ROUTED_SQL = """
@@ -352,11 +352,14 @@ def detail_run(t: Tables):
 
 
 @query("rec1_feed_records", """
-with l as (select l_orderkey, l_linenumber, l_partkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as ord from lineitem),
-n as (select l_orderkey, string_agg(l_partkey::varchar, ',' order by ord) as parts from l group by 1)
-select o_orderkey::varchar as external_id, case when o_orderkey % 2 = 0 then 'Order ' || o_orderkey else '' end as title, '' as description,
+with l as (select l_orderkey, l_linenumber, l_partkey, l_quantity, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as ord from lineitem),
+n as (select l_orderkey, string_agg(l_partkey::varchar, ',' order by ord) as parts, count(*) as files, sum(l_quantity) as bytes from l group by 1),
+c as (select o_custkey, string_agg(o_orderkey::varchar, ',' order by o_orderkey) as entries from orders group by 1)
+select o_orderkey::varchar as external_id, files::bigint as manifest_files, bytes::bigint as manifest_bytes,
+ case when o_orderkey % 4 = 0 then entries else '' end as entries, case when o_orderkey % 2 = 0 then 'Order ' || o_orderkey else '' end as title, '' as description,
  (case when o_orderkey % 3 = 0 then o_orderkey else 0 end)::bigint as duration_seconds, case when o_orderkey % 4 = 0 then 1 else 0 end as series_entries,
- case when o_orderkey % 4 = 0 then o_orderpriority end as series_name, coalesce(parts, '') as parts, 'duration,title' as present from orders left join n on l_orderkey = o_orderkey""")
+ case when o_orderkey % 4 = 0 then o_orderpriority end as series_name, coalesce(parts, '') as parts, 'duration,title' as present
+from orders left join n on l_orderkey = o_orderkey join c using (o_custkey)""")
 def rec1(t: Tables):
     key = F.col("o_orderkey")
     items = t.orders.select(
@@ -365,9 +368,17 @@ def rec1(t: Tables):
         F.array(F.lit("title"), F.lit("duration")).alias("fields_present"))
     lines = t.lineitem.select(F.lit("cards").alias("source"), _s("l_orderkey").alias("external_id"), "l_linenumber", "l_partkey", "l_suppkey")
     parts = catalog.assemble_nested(lines, ["source", "external_id"], [F.col(c) for c in _LINE_ORDER], _line_chunk(), ["l_partkey"], "parts")
-    records = catalog.project_records(items, parts)
+    manifests = lines.join(t.lineitem.groupBy(_s("l_orderkey").alias("external_id")).agg(
+        F.count("*").alias("files"), F.sum("l_quantity").cast("long").alias("bytes")), "external_id").select(
+        "source", "external_id", "files", "bytes").distinct()
+    siblings = t.orders.select("o_custkey", F.col("o_orderkey").alias("entry"))
+    entries = catalog.assemble_nested(
+        t.orders.join(siblings, "o_custkey").select(F.lit("cards").alias("source"), _s("o_orderkey").alias("external_id"), "entry"),
+        ["source", "external_id"], [F.col("entry")], F.floor(F.col("entry") / 1_000_000), ["entry"], "entries")
+    records = catalog.project_records(items, parts, manifests, entries)
     return records.select(
-        "external_id", "title", "description", "duration_seconds", F.size("series").alias("series_entries"),
+        "external_id", F.col("manifest.files").alias("manifest_files"), F.col("manifest.bytes").alias("manifest_bytes"),
+        F.coalesce(F.array_join(F.transform(F.get("series", F.lit(0))["entries"], lambda e: e["entry"].cast("string")), ","), F.lit("")).alias("entries"), "title", "description", "duration_seconds", F.size("series").alias("series_entries"),
         F.get("series", F.lit(0))["name"].alias("series_name"), F.array_join(F.transform("parts", lambda p: p["l_partkey"].cast("string")), ",").alias("parts"),
         F.array_join("fields_present", ",").alias("present"))
 
@@ -443,8 +454,9 @@ def src6(t: Tables):
 
 @query("src6_run_digests", _CANON_SQL + """
 , c as (select o_orderstatus, sha256(body) as d, count(*) as n, sum(strlen(body) + 1) as b from r group by 1, 2),
-k as (select o_orderstatus, substr(d, 1, 4) as p, sha256(string_agg(d || ':' || n, chr(10) order by d || ':' || n)) as h, sum(n) as n, sum(b) as b from c group by 1, 2)
-select o_orderstatus, sha256(string_agg(h, chr(10) order by p)) as sha256, sum(n)::bigint as records, sum(b)::bigint as bytes from k group by 1""")
+j as (select o_orderstatus, substr(d, 1, 8) as p, sha256(string_agg(d || ':' || n, chr(10) order by d || ':' || n)) as h, sum(n) as n, sum(b) as b from c group by 1, 2),
+k as (select o_orderstatus, substr(p, 1, 4) as p, sha256(string_agg(h, chr(10) order by h)) as h, sum(n) as n, sum(b) as b from j group by 1, 2)
+select o_orderstatus, sha256(string_agg(h, chr(10) order by h)) as sha256, sum(n)::bigint as records, sum(b)::bigint as bytes from k group by 1""")
 def src6_run(t: Tables):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     digests = orders.select("o_orderstatus", feed.canonical_json(orders).alias("body")).withColumn("sha256", F.sha2(F.col("body").cast("binary"), 256))

@@ -50,7 +50,7 @@ def cln2_durations(t: Tables):
 
 @query("cln2_labelled_durations", """
 select o_orderkey, case when o_orderkey % 2 = 0 then o_orderkey % 36000 else 0 end::int as labelled,
-  ((o_orderkey % 20) * 3600 + (o_orderkey % 60) * 60)::int as longest,
+  greatest(60, (o_orderkey % 20) * 3600 + (o_orderkey % 60) * 60)::int as longest,
   ((o_orderkey % 20) * 3600 + (o_orderkey % 60) * 60 + 5)::int as worded from orders""")
 def cln2_labelled(t: Tables):
     key = F.col("o_orderkey")
@@ -58,10 +58,8 @@ def cln2_labelled(t: Tables):
     worded = _cat(_s(key % 20), " часов ", _s(key % 60), " минут")
     texts = F.array(F.lit("1 минута"), worded, F.lit("99 страниц"))
     full = _cat(worded, " 5 секунд")
-    longest = F.greatest(measures.longest_duration(texts), F.lit(0))
     return t.orders.select("o_orderkey", measures.labelled_duration(text).alias("labelled"),
-                           F.when((key % 20 == 0) & (key % 60 == 0), 0).otherwise(longest).alias("longest"),
-                           measures.worded_duration(full).alias("worded"))
+                           measures.longest_duration(texts).alias("longest"), measures.worded_duration(full).alias("worded"))
 
 
 @query("cln2_sizes_and_ratings", """
@@ -205,8 +203,7 @@ def cln6(t: Tables):
 
 
 @query("jn6_fuzzy_author_prefix", _NAME_SQL + """
-select p_partkey as item, p_partkey % 5 <> 4 and not (p_partkey % 5 = 1 and length(a) < 7) and not (p_partkey % 5 = 3 and a = 'Old') as named from n""".replace(
-    " and not (p_partkey % 5 = 1 and length(a) < 7) and not (p_partkey % 5 = 3 and a = 'Old')", ""))
+select p_partkey as item, p_partkey % 5 <> 4 as named from n""")
 def jn6(t: Tables):
     a, b, key = F.col("a"), F.col("b"), F.col("p_partkey")
     given = F.lit("Александра")
@@ -243,19 +240,19 @@ select p_partkey, case p_partkey % 5 when 0 then p_name when 1 then p_name || '
   case p_partkey % 5 when 0 then 'gone' when 1 then 'new' else 'both' end as side from part""")
 def jn9(t: Tables):
     key, name = F.col("p_partkey"), F.col("p_name")
-    stored = t.part.where(key % 5 != 1).select("p_partkey", _pick(key, [name, name, name, _cat(name, " stored"), _cat(name, " stays")]).alias("title"))
+    stored = t.part.where(key % 5 != 1).select("p_partkey", _pick(key, [name, name, _cat(name, " [MP3, 128 kbps]"), _cat(name, " stored"), _cat(name, " stays")]).alias("title"), F.array().cast("array<string>").alias("authors"))
     incoming = t.part.where(key % 5 != 0).select(
-        "p_partkey", _pick(key, [name, _cat(name, " volume"), _cat(F.upper(name), "!"), name, F.lit("unrelated thing")]).alias("title"))
-    return titles.reconcile(stored, incoming, "p_partkey")
+        "p_partkey", _pick(key, [name, _cat(name, " volume"), _cat(F.upper(name), "!"), name, F.lit("unrelated thing")]).alias("title"), F.array().cast("array<string>").alias("authors"))
+    return titles.reconcile(stored, incoming, "p_partkey", authors="authors")
 
 
 @query("jn11_confirmed_suffixes", """
 select p_partkey, p_name || case when p_partkey % 3 = 1 then ' [other]' else '' end as clean_title, p_partkey % 3 <> 1 as confirmed from part""")
 def jn11(t: Tables):
     key = F.col("p_partkey")
-    items = t.part.select("p_partkey", _cat(F.col("p_name"), " [", _pick(key, [F.upper("p_type"), F.lit("other"), F.lower("p_brand")]), "]").alias("title"))
+    items = t.part.select("p_partkey", _cat(F.col("p_name"), " [", _pick(key, [F.array_join(F.reverse(F.split(F.upper("p_type"), " ")), " "), F.lit("other"), F.lower("p_brand")]), "]").alias("title"))
     dimension = t.part.select("p_partkey", F.explode(F.array("p_type", "p_brand")).alias("value"))
-    return titles.suffix_matches_dimension(items, dimension, ["p_partkey"], "title", "value").select("p_partkey", "clean_title", "confirmed")
+    return titles.suffix_matches_dimension(items, dimension, ["p_partkey"], "title", "value", people=True).select("p_partkey", "clean_title", "confirmed")
 
 
 @query("cln7_series_names", """

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,13 +35,32 @@ def build_session(master: str | None = None, app: str = "catalogloom", **conf) -
     defaults.update({k.replace("_", "."): str(v) for k, v in conf.items()})
     for key, value in defaults.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the workers import this package wherever they run; once for each context."""
+    context = spark.sparkContext
+    if getattr(context, "_catalogloom_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="catalogloom-"), "catalogloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("catalogloom", os.path.relpath(full, top)))
+    context.addPyFile(path)
+    context._catalogloom_shipped = True
 
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; a
+    Only a session of a single process without that setting gets a folder of its own; a
     cluster must name one, because executors cannot see each other's disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,7 +69,7 @@ def shared_root(spark: SparkSession) -> str:
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="catalogloom-")
     spark.sparkContext.setCheckpointDir(root)

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 SCHEMA_VERSION = "catalog.feed/v1"
 MANIFEST_VERSION = "catalog.feed-manifest/v1"
-DIGEST_PREFIX = 4
+#: Hex digits that digests of one bucket share, level by level.
+DIGEST_LEVELS = (8, 4)
 
 
 def _sorted_value(col: Column, dtype: T.DataType) -> Column:
@@ -37,25 +38,25 @@ def record_digests(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | Non
 
 
 def run_digest(digests: DataFrame, keys: Sequence[str] = (), digest: str = "sha256", body: str = "body",
-               prefix: int = DIGEST_PREFIX) -> DataFrame:
+               levels: Sequence[int] = DIGEST_LEVELS) -> DataFrame:
     """One digest per run, independent of partitioning and row order.
 
-    Three levels, so nothing grows with the data in one task: equal digests are
-    counted (map-side), the distinct ones are hashed in order within buckets of
-    their first hex digits, and the bucket digests are hashed in order. At most
-    16^prefix bucket digests meet in the last step.
+    Equal digests are counted (map-side); the distinct ones are hashed in order
+    in buckets of their first hex digits, the bucket digests in wider buckets,
+    and those of the run last. With 16^8 buckets below 16^4, a task hashes some
+    dozens of lines at 10^11 records, and 65,536 at each higher step.
     """
     keys = list(keys)
     counted = digests.groupBy(*keys, digest).agg(
         F.count("*").alias("_n"), F.sum(F.octet_length(body) + 1).alias("_bytes"))
     line = F.concat_ws(":", digest, F.col("_n").cast("string"))
-    buckets = (counted.withColumn("_bucket", F.substring(digest, 1, prefix)).withColumn("_line", line)
-               .groupBy(*keys, "_bucket").agg(
-                   F.expr("listagg(_line, '\n') within group (order by _line)").alias("_text"),
-                   F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes")))
-    hashed = buckets.withColumn("_hash", F.sha2(F.col("_text").cast("binary"), 256))
-    return hashed.groupBy(*keys).agg(
-        F.sha2(F.expr("listagg(_hash, '\n') within group (order by _bucket)").cast("binary"), 256).alias("sha256"),
+    level = counted.select(*keys, F.col(digest).alias("_at"), line.alias("_line"), "_n", "_bytes")
+    for prefix in levels:
+        level = level.withColumn("_at", F.substring("_at", 1, prefix)).groupBy(*keys, "_at").agg(
+            F.sha2(F.expr("listagg(_line, '\n') within group (order by _line)").cast("binary"), 256).alias("_line"),
+            F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes"))
+    return level.groupBy(*keys).agg(
+        F.sha2(F.expr("listagg(_line, '\n') within group (order by _line)").cast("binary"), 256).alias("sha256"),
         F.sum("_n").alias("records"), F.sum("_bytes").alias("bytes"))
 
 

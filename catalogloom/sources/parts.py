@@ -11,7 +11,7 @@ from ..functions.text import none_if_blank, squeeze
 from ..functions.urls import absolute, first_web_url
 
 # Shape of embedded part objects and of quoted media addresses.
-PART_OBJECT = r'(?s)(\{[^{}]{0,4000}?"fileId"\s*:\s*\d+[^{}]{0,4000}?\})'
+PART_OBJECT = r'(?s)(\{[^{}]*?"fileId"\s*:\s*\d+[^{}]*\})'
 QUOTED_MEDIA = r"""(?i)["']((?:https?:)?(?:\\?/\\?/)[^"'\s]+?\.mp3(?:\?[^"'\s]*)?)["']"""
 PART_FIELDS = "struct<fileId:string,title:string,src:string,duration:string>"
 PLAYLIST_ITEM = "struct<id:string,title:string,file:string>"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,22 +51,30 @@ def state_version(spark: SparkSession, path: str) -> int:
     return commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
+def _folder(path: str, run_id: str) -> str:
+    return f"{path}/data/{hashlib.sha256(run_id.encode()).hexdigest()[:32]}"
+
+
 def load_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     version = state_version(spark, path)
     if version == 0:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/data/version={version}")
+    commits = spark.read.schema("version bigint, run_id string").parquet(f"{path}/commits")
+    newest = commits.where(F.col("version") == version).agg(F.max("run_id")).first()[0]
+    return spark.read.schema(schema).parquet(_folder(path, newest))
 
 
 def save_state(df: DataFrame, path: str, run_id: str) -> int:
-    """Write the next version, then commit it with one appended row.
+    """Write a run's state, then commit it as the next version with one appended row.
 
     Readers follow the commit table, so a crash in between leaves the old state
-    in force; the unreferenced folder is overwritten by the next attempt.
+    in force. Every run has a folder of its own: two writers at once do not
+    overwrite each other, and if both commit the same version, readers agree on
+    the one with the larger run id.
     """
     spark = df.sparkSession
     version = state_version(spark, path) + 1
-    df.write.mode("overwrite").parquet(f"{path}/data/version={version}")
+    df.write.mode("overwrite").parquet(_folder(path, run_id))
     spark.createDataFrame([(version, run_id)], "version bigint, run_id string").coalesce(1).write.mode(
         "append").parquet(f"{path}/commits")
     return version
