@@ -153,3 +153,38 @@ def test_id_lists(spark):
     from catalogloom.functions.urls import id_list
     df = spark.createDataFrame([("7, 3,7,,5",), ("",), (None,)], "c string")
     assert [r.v for r in df.select(id_list(F.col("c"), [1, 2]).alias("v")).collect()] == [[7, 3, 5], [1, 2], [1, 2]]
+
+
+def test_running_totals_with_null_keys_and_chunks(spark):
+    rows = [(None, 1, 5), (None, 2, 7), ("a", 1, 1), (None, None, 2), ("a", None, 3)]
+    df = spark.createDataFrame(rows, "k string, i int, v int")
+    got = {(r.k, r.i): (r.upto, r.whole) for r in running_totals(
+        df, ["k"], [F.col("i")], "i", {"upto": F.col("v")}, {"whole": "upto"}).collect()}
+    assert got == {(None, None): (2, 14), (None, 1): (7, 14), (None, 2): (14, 14), ("a", None): (3, 4), ("a", 1): (4, 4)}
+
+
+@pytest.mark.parametrize("children", [1, 2, 10_001])
+def test_one_record_per_item(spark, children):
+    from catalogloom.operators import catalog
+    keys = ["source", "external_id"]
+    item = spark.createDataFrame([("s", "1", "t", 5, "Saga"), ("s", "2", "u", 6, None)],
+                                 "source string, external_id string, title string, duration_seconds int, series_name string")
+    rows = spark.range(children).select(F.lit("s").alias("source"), F.lit("1").alias("external_id"), "id")
+    nest = lambda name: catalog.assemble_nested(rows, keys, [F.col("id")], F.floor(F.col("id") / 100), ["id"], name)
+    manifest = rows.groupBy(*keys).agg(F.count("*").alias("files"))
+    got = {r.external_id: r for r in catalog.project_records(item, nest("parts"), manifest, nest("entries")).collect()}
+    assert len(got) == 2 and got["2"].parts == [] and got["2"].manifest is None
+    assert [p.id for p in got["1"].parts] == [e.id for e in got["1"].series[0].entries] == list(range(children))
+    assert got["1"].manifest.files == children
+    flat = catalog.numbered_children(rows, keys, [F.col("id")], F.floor(F.col("id") / 100), ["id"])
+    assert flat.where("ord = id + 1").count() == children
+
+
+def test_two_writers_of_one_version_keep_their_own_rows(spark):
+    from catalogloom.sources import state
+    path = scratch_dir(spark, "writers")
+    state.save_state(spark.range(1), path, "a")
+    spark.range(2).write.parquet(state._folder(path, "b"))
+    spark.createDataFrame([(1, "b")], "version bigint, run_id string").write.mode("append").parquet(f"{path}/commits")
+    assert state.load_state(spark, path, "id bigint").count() == 2
+    assert spark.read.parquet(state._folder(path, "a")).count() == 1
