@@ -10,12 +10,12 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed
 from ..functions.measures import clock_duration
-from ..functions.scale import ordered_text
+from ..functions.scale import first_by, ordered_text
 from ..functions.text import squeeze
 from ..functions.urls import absolute, path
 from ..session import durable
 from .links import classify_links, derive_keys, is_good_label
-from .nodes import TEXT, attr, in_page_order, mark_owner
+from .nodes import TEXT, attr, has_class, in_page_order, mark_owner
 
 
 def listing_segments(nodes: DataFrame, pages: DataFrame, allowed_hosts: Sequence[str] = ()) -> DataFrame:
@@ -113,11 +113,34 @@ def extract_table_rows(nodes: DataFrame, row_scope: Column, cells: Mapping[str,
     return rows
 
 
-def counter(text: Column, age_word: str = "дн") -> Column:
-    """A counter cell; a cell that shows an age instead counts as 0."""
+def unique_rows(rows: DataFrame, keys: Sequence[str], order: str = "row") -> DataFrame:
+    """The first row of each key, such as an item that a listing repeats."""
+    return first_by(rows, keys, [F.col(order)])
+
+
+def search_rows(nodes: DataFrame) -> DataFrame:
+    """Rows of the search layout, whose counters are known by column number only.
+
+    The exact size is an attribute of its cell; without it the cell's text
+    counts. Rows without a title or a download link are dropped.
+    """
+    numbered = child_index(nodes)
+    column = lambda n: (F.col("tag") == "td") & (F.col("child") == n)
+    row = F.col("tag") == "tr"
+    rows = extract_table_rows(
+        numbered, row, {"title": has_class("tLink"), "size": has_class("tor-size"), "seeds": column(7), "leeches": column(8)},
+        {"href": ("title", "href"), "exact_size": ("size", "data-ts_text")}, required=["title"])
+    # The link lies inside the size cell, and an element has one owner.
+    loadable = extract_table_rows(nodes, row, {"download": has_class("tr-dl")}, required=["download"])
+    return rows.join(loadable.select("page_id", "row"), ["page_id", "row"], "left_semi").withColumn(
+        "size", F.coalesce(F.nullif("exact_size", F.lit("")), "size"))
+
+
+def counter(text: Column, age_word: str | None = None) -> Column:
+    """A counter cell; with ``age_word``, a cell that shows an age instead counts as 0."""
     digits = F.regexp_extract(F.replace(F.coalesce(text, F.lit("")), F.lit(" "), F.lit("")), r"(\d+)", 1)
     number = F.coalesce(digits.try_cast("long"), F.lit(0).cast("long"))
-    return F.when(F.contains(F.lower(text), F.lit(age_word)), F.lit(0).cast("long")).otherwise(number)
+    return number if age_word is None else F.when(F.contains(F.lower(text), F.lit(age_word)), F.lit(0).cast("long")).otherwise(number)
 
 
 def has_href(fragment: str) -> Column:

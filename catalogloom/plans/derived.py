@@ -87,6 +87,23 @@ def table_pages(part: DataFrame) -> DataFrame:
              "</body></html>").alias("html"))
 
 
+def search_pages(part: DataFrame) -> DataFrame:
+    """Search results: 1 to 4 rows per part row; even rows state the exact size as an
+    attribute, some counter cells show an age."""
+    def row(i: Column) -> Column:
+        number = F.col("p_partkey") * 10 + i
+        exact = F.when(i % 2 == 0, _cat(' data-ts_text="', _s(F.col("p_partkey") * 1000 + i), '"')).otherwise("")
+        seeds = F.when(i % 3 == 1, _cat(_s(i), " дн")).otherwise(_s(F.col("p_size") + i))
+        return _cat('<tr><td>1</td><td>2</td><td class="f-name-col"><a href="tracker.php?f=9">F</a></td><td class="t-title-col">',
+                    '<a class="tLink" href="viewtopic.php?t=', _s(number), '">', F.col("p_name"), " ", _s(i), "</a></td><td>who</td>",
+                    '<td class="tor-size"', exact, '><a class="tr-dl" href="dl.php?t=', _s(number), '">', _s(F.col("p_size") + i),
+                    " KB</a></td><td>", seeds, "</td><td>", _s(i), " дн</td></tr>")
+
+    return spread(part, "p_partkey").select(
+        F.col("p_partkey").alias("page_id"), _cat(POST_HOST, "/forum/tracker.php").alias("url"),
+        _cat('<html><body><table id="tor-tbl"><tbody>', _each(1 + F.col("p_size") % 4, row), "</tbody></table></body></html>").alias("html"))
+
+
 def post_pages(part: DataFrame) -> DataFrame:
     """Posts with labelled fields, images, and a series list.
 

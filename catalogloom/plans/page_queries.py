@@ -210,7 +210,7 @@ def ext5_labels(t: Tables):
 with r as (select *, unnest(range(0, least(1 + p_size % 5, 4))) as i from part)
 select p_partkey as page_id, (p_partkey * 10 + i)::varchar as external_id, p_name || ' ' || i as title,
   floor((p_size + i + 0.5) * power(1024, i % 3 + 1))::bigint as size_bytes, (p_size * 10 + i)::bigint as seeders,
-  case when i = 3 then 0 else i end::bigint as leechers from r""")
+  i::bigint as leechers from r""")
 def ext6(t: Tables):
     tree = nodes.page_nodes(derived.table_pages(t.part))
     rows = listing.extract_table_rows(
@@ -218,11 +218,23 @@ def ext6(t: Tables):
         {"title": listing.has_href("viewtopic.php?t="), "size": listing.has_href("dl.php?t="),
          "seeds": nodes.has_class("seedmed"), "leeches": nodes.has_class("leechmed")},
         {"href": ("title", "href")}, required=["title", "size"])
-    keyed = links.derive_keys(rows, "href")
+    keyed = listing.unique_rows(links.derive_keys(rows, "href"), ["page_id", "external_id"])
     return keyed.select("page_id", "external_id", "title", size_bytes(F.col("size")).alias("size_bytes"),
                         listing.counter(F.col("seeds")).alias("seeders"), listing.counter(F.col("leeches")).alias("leechers"))
 
 
+@query("ext6_search_rows", """
+with r as (select *, unnest(range(0, 1 + p_size % 4)) as i from part)
+select p_partkey as page_id, (p_partkey * 10 + i)::varchar as external_id, p_name || ' ' || i as title,
+  case when i % 2 = 0 then p_partkey * 1000 + i else (p_size + i) * 1024 end::bigint as size_bytes,
+  case when i % 3 = 1 then 0 else p_size + i end::bigint as seeders, i::bigint as leechers from r""")
+def ext6_search(t: Tables):
+    rows = listing.search_rows(nodes.page_nodes(derived.search_pages(t.part)))
+    return links.derive_keys(rows, "href").select(
+        "page_id", "external_id", "title", size_bytes(F.col("size")).alias("size_bytes"),
+        listing.counter(F.col("seeds"), "дн").alias("seeders"), listing.counter(F.col("leeches")).alias("leechers"))
+
+
 @query("flt2_scope_to_article", r"""
 select page_id, len(regexp_extract_all(regexp_extract(html, '<article>.*</article>', 0, 's'), '<p[ >]')) as inside,
   len(regexp_extract_all(regexp_replace(html, '<article>.*</article>', '', 's'), '<(li|a|footer|nav|ul)[ >]')) as outside from pages""")
