@@ -35,7 +35,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
-    return _ordered(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("_m").alias("v")))
+    hooked = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
+    return hooked
 
 
 def _small(edges: DataFrame) -> DataFrame:

@@ -48,8 +48,8 @@ SPLIT = 8_192
 FIRST_PAIRS = 4
 #: Distance below the threshold (in standard deviations of the agreement) from which on pairs are proposed.
 SLACK = 3.4
-#: Pairs each component confirms in a wave; then all that are left.
-WAVES = (1, 4, 16)
+#: Pairs each component confirms in the first wave; the second takes all that are left.
+FIRST_WAVE = 2
 #: Bytes of a shingle hash in a full set.
 WIDTH = 6
 
@@ -281,7 +281,7 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, size: int, wanted: DataF
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``pairs(x, y)`` with ``linked``: whether the full sets reach the threshold."""
+    """``pairs(x, y, lx, ly)`` with ``linked``: whether the full sets reach the threshold."""
     percent = round(threshold * 100)
 
     def unpack(raw: bytes) -> np.ndarray:
@@ -292,16 +292,17 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             linked = []
-            for one, two in zip(batch.column(2), batch.column(3)):
+            for one, two in zip(batch.column(4), batch.column(5)):
                 one, two = unpack(one.as_py()), unpack(two.as_py())
                 both = np.sort(np.concatenate([one, two]))
                 shared = int((both[1:] == both[:-1]).sum())
                 linked.append(100 * shared >= percent * (len(both) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())],
-                                             names=["x", "y", "linked"])
-    one = pairs.select("x", "y").join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("_x")), "x")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(linked, pa.bool_())],
+                                             names=["x", "y", "lx", "ly", "linked"])
+    one = pairs.select("x", "y", "lx", "ly").join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("_x")), "x")
     both = one.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("_y")), "y")
-    return both.select("x", "y", "_x", "_y").mapInArrow(run, "x long, y long, linked boolean")
+    return both.select("x", "y", "lx", "ly", "_x", "_y").mapInArrow(
+        run, "x long, y long, lx long, ly long, linked boolean")
 
 
 def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool) -> tuple[DataFrame, DataFrame]:
@@ -352,16 +353,16 @@ def _relabelled(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
                         F.coalesce("_ly", "y").alias("ly")).where("lx != ly")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float, links: list[DataFrame], tried: list[DataFrame],
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float, tried: list[DataFrame],
                labels: DataFrame | None) -> DataFrame | None:
-    """Confirm pairs in waves until none is left between different components; roots of what is linked."""
-    for cap in (*WAVES, None):
+    """Confirm pairs until none is left between different components; roots of what is linked."""
+    for cap in (FIRST_WAVE, None):
         open_pairs = _relabelled(pairs, labels)
         if tried:
             open_pairs = open_pairs.join(_union(tried).select("x", "y"), ["x", "y"], "left_anti")
         if cap is not None:
             ranked = [open_pairs.withColumn("_no", F.row_number().over(
-                Window.partitionBy(side).orderBy(F.desc("est"), "x", "y"))).where(F.col("_no") <= cap).select("x", "y")
+                Window.partitionBy(side).orderBy(F.desc("est"), "x", "y"))).where(F.col("_no") <= cap).select("x", "y", "lx", "ly")
                 for side in ("lx", "ly")]
             open_pairs = ranked[0].union(ranked[1]).distinct()
         results = kept(_confirm(open_pairs, sets, threshold), "confirmed")
@@ -370,11 +371,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float, links: list[
             break
         tried.append(results)
         if counts[1]:
-            links.append(results.where("linked").select("x", "y"))
-            labels = components(_union(links))
+            labels = _merged(labels, results.where("linked").select(F.col("lx").alias("x"), F.col("ly").alias("y")))
     return labels
 
 
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Roots after links between roots: only the components that they touch are worked on."""
+    more = components(links)
+    if labels is None:
+        return kept(more, "labels")
+    above = more.select(F.col("id").alias("root"), F.col("root").alias("_top"))
+    moved = labels.join(above, "root", "left").select("id", F.coalesce("_top", "root").alias("root"))
+    return kept(moved.union(more.join(labels.select("id"), "id", "left_anti").select("id", "root")), "labels")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
                     threshold: float = 0.8, trees: int = TREES) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
@@ -392,7 +402,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = kept(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sig").alias("sig")).select(
         F.col("a").alias("id"), "b", "rep", "n", "sig"), "classes")
-    links: list[DataFrame] = []
     tried: list[DataFrame] = []
     labels = None
     for some, scout in ((range(min(SCOUTS, trees)), True), (range(min(SCOUTS, trees), max(trees, SCOUTS + 1)), False)):
@@ -406,12 +415,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         wanted = wanted.distinct() if not tried else wanted.distinct().join(sets.select("id"), "id", "left_anti")
         more = kept(_full_sets(docs, doc_id, text, shingle, classes.select("id", "rep").join(wanted, "id")), "sets")
         sets = more if not tried else sets.unionByName(more)
-        labels = _confirmed(pairs, sets, threshold, links, tried, labels)
+        labels = _confirmed(pairs, sets, threshold, tried, labels)
     others = packed.select(F.explode(F.expr(
         "transform(sequence(0, size(rest) div 2 - 1), i -> struct(rest[2 * i] as x, rest[2 * i + 1] as y))")).alias("p"))
     left = kept(_relabelled(others.select("p.x", "p.y").distinct(), labels).select("x", "y", F.lit(0.0).alias("est")),
                 "pairs")
-    labels = _confirmed(left, sets, threshold, links, tried, labels)
+    labels = _confirmed(left, sets, threshold, tried, labels)
     names = classes.select(F.col("id").alias("a"), "b", "rep")
     if labels is not None:
         roots = names.join(labels.withColumnRenamed("id", "a"), "a")
