@@ -132,6 +132,8 @@ GENERIC_GENRES = ["аудиокнига", "audiobook"]
 SURNAME_MARKER = "ли"
 
 # Patterns of people credits.
+# A title that announces itself.
+ANNOUNCED_TITLE = r"(?iU)^.*?\bаудиокнига\s*[:.]\s*"
 SERVICE_MARKER = r"(?iU)\s*\(\s*ли\s*\)\s*$"
 AND_OTHERS = r"(?iU)\s+и\s+др\.?\s*$"
 AUTHOR_PERIOD = r"(?iU)^(?:до|с|по|после)\s+(?:\d{1,2}|[IVXLCDM]+)\s*(?:век(?:а|ов)?|в\.)$"

@@ -52,7 +52,6 @@ def split_known_unknown(keys: DataFrame, state: DataFrame, key: str) -> tuple[Da
     return keys.join(known, key, "left_semi"), keys.join(known, key, "left_anti")
 
 
-VIOLATIONS = ["bad_key", "missing_file", "url_mismatch"]
 
 
 def check_part_integrity(parts: DataFrame, files: DataFrame, items: DataFrame, key: str = "item") -> DataFrame:
