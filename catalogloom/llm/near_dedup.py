@@ -233,9 +233,11 @@ def _groups(table: pa.Table, low: float, threshold: float, scout: bool, last: bo
         made.append((_EDGE, p[first], q[first], est[first], [None] * int(first.sum())))
         packed = np.flatnonzero(~first)
         if len(packed) and not scout:
-            parts = np.split(packed, np.flatnonzero(i[packed][1:] != i[packed][:-1]) + 1)
-            made.append((_REST, p[[k[0] for k in parts]], q[[k[0] for k in parts]], np.zeros(len(parts)),
-                         [np.stack([p[k], q[k]], axis=1).ravel().tolist() for k in parts]))
+            packed = packed[np.lexsort((mark[j[packed]], i[packed]))]
+            one, two = i[packed], mark[j[packed]]
+            parts = np.split(packed, np.flatnonzero((one[1:] != one[:-1]) | (two[1:] != two[:-1])) + 1)
+            heads = [k[0] for k in parts]
+            made.append((_REST, ids[i[heads]], mark[j[heads]], np.zeros(len(parts)), [ids[j[k]].tolist() for k in parts]))
     for node_ids, member_ids in children:
         made.append((_MEMBER, node_ids, member_ids, np.zeros(len(node_ids)), [None] * len(node_ids)))
     for kind, p, q, est, rest in made:
@@ -306,7 +308,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs (x, y, est) and packed pairs (rest) of some trees; ``classes`` has ``mark``."""
+    """Proposed pairs (x, y, est) of some trees, and packed ones: a class x with members ``rest`` of the component y."""
     low = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / PLACES)
     steps = max(0, math.ceil(math.log(max(1, classes.count() / LEAF)) / math.log(12)))
     members = _roots(classes, steps, trees)
@@ -329,7 +331,7 @@ def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool)
         last = len(edges) + 1 == SCOUT_LEVELS
         found = kept(_compare(sorted_level, low, threshold, scout, last), "level")
         edges.append(found.where(f"kind = {_EDGE}").select(F.col("p").alias("x"), F.col("q").alias("y"), "est"))
-        rest.append(found.where(f"kind = {_REST}").select("rest"))
+        rest.append(found.where(f"kind = {_REST}").select(F.col("p").alias("x"), F.col("q").alias("y"), "rest"))
         members = found.where(f"kind = {_MEMBER}").select(F.col("p").alias("node"), F.col("q").alias("id"))
         if members.isEmpty():
             break
@@ -403,24 +405,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sig").alias("sig")).select(
         F.col("a").alias("id"), "b", "rep", "n", "sig"), "classes")
     tried: list[DataFrame] = []
-    labels = None
+    labels = sets = None
+
+    def _more_sets(known: DataFrame | None, of: DataFrame) -> DataFrame:
+        wanted = of.select(F.col("x").alias("id")).union(of.select("y")).distinct()
+        if known is not None:
+            wanted = wanted.join(known.select("id"), "id", "left_anti")
+        more = kept(_full_sets(docs, doc_id, text, shingle, classes.select("id", "rep").join(wanted, "id")), "sets")
+        return more if known is None else known.unionByName(more)
+
     for some, scout in ((range(min(SCOUTS, trees)), True), (range(min(SCOUTS, trees), max(trees, SCOUTS + 1)), False)):
         marked = classes.withColumn("mark", F.col("id")) if labels is None else classes.join(labels, "id", "left").select(
             classes["*"], F.coalesce("root", "id").alias("mark"))
         found, packed = _candidates(marked, threshold, some, scout)
         pairs = kept(found.groupBy("x", "y").agg(F.max("est").alias("est")), "pairs")
-        wanted = pairs.select(F.col("x").alias("id")).union(pairs.select("y"))
-        if not scout:
-            wanted = wanted.union(packed.select(F.explode("rest")))
-        wanted = wanted.distinct() if not tried else wanted.distinct().join(sets.select("id"), "id", "left_anti")
-        more = kept(_full_sets(docs, doc_id, text, shingle, classes.select("id", "rep").join(wanted, "id")), "sets")
-        sets = more if not tried else sets.unionByName(more)
+        sets = _more_sets(sets, pairs)
         labels = _confirmed(pairs, sets, threshold, tried, labels)
-    others = packed.select(F.explode(F.expr(
-        "transform(sequence(0, size(rest) div 2 - 1), i -> struct(rest[2 * i] as x, rest[2 * i + 1] as y))")).alias("p"))
-    left = kept(_relabelled(others.select("p.x", "p.y").distinct(), labels).select("x", "y", F.lit(0.0).alias("est")),
+    # What a class shares with a component matters only while they are apart.
+    apart = _relabelled(packed, labels).select("x", F.explode("rest").alias("z"))
+    left = kept(apart.select(F.least("x", "z").alias("x"), F.greatest("x", "z").alias("y"), F.lit(0.0).alias("est")).distinct(),
                 "pairs")
-    labels = _confirmed(left, sets, threshold, tried, labels)
+    labels = _confirmed(left, _more_sets(sets, left), threshold, tried, labels)
     names = classes.select(F.col("id").alias("a"), "b", "rep")
     if labels is not None:
         roots = names.join(labels.withColumnRenamed("id", "a"), "a")
