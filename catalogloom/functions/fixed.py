@@ -70,6 +70,19 @@ DECORATIVE_IMAGE_TOKENS = [
 # File suffixes of supported media.
 AUDIO_SUFFIXES = ["mp3", "m4a", "m4b", "aac", "ogg", "opus", "flac", "wav", "wma"]
 
+# Clocks and the words for hours, minutes and seconds.
+CLOCK = r"(?<!\d)\d{1,3}:\d{2}:\d{2}(?!\d)"
+MINUTES = r"(?<!\d)\d{1,3}:\d{2}(?!\d)"
+CLOCK_TAIL = r"((?:\d+:)?\d{1,2}:\d{2})$"
+SHORT_DURATION_WORDS = (r"(?U)(\d+)\s*(?:ч|час)", r"(?U)(\d+)\s*(?:мин|м)\b", r"(?U)(\d+)\s*(?:сек|с)\b")
+FULL_DURATION_WORDS = (r"(?U)(\d+)\s*(?:час|часа|часов|ч\.)",
+                       r"(?U)(\d+)\s*(?:минута|минуты|минут|мин\.)",
+                       r"(?U)(\d+)\s*(?:секунда|секунды|секунд|сек\.)")
+DURATION_WORD = r"(?U)\b(?:час|часа|часов|минута|минуты|минут|секунда|секунды|секунд)\b"
+FIELD_DURATION_WORDS = (r"(?iU)(?<!\d)(\d{1,3})\s*(?:ч(?:ас(?:а|ов)?)?\.?)"
+                        r"(?:\s*(\d{1,2})\s*(?:м(?:ин(?:ут(?:а|ы)?)?)?\.?))?"
+                        r"(?:\s*(\d{1,2})\s*(?:с(?:ек(?:унд(?:а|ы)?)?)?\.?))?")
+
 # Size units as powers of 1024.
 SIZE_UNITS = {
     "b": 0, "байт": 0,
