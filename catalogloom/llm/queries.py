@@ -113,7 +113,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of all texts and their edited forms; near documents of every fiftieth id."""
     prints = simhash.edited_fingerprints(_table(spark, sf_dir, "documents"))
-    near = simhash.near_counts(prints.withColumnRenamed("own", "bits"), F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False)))
+    near = simhash.near_counts(prints.withColumnRenamed("own", "bits"), F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False)),
+                               simhash.NEAR_BITS)
     return prints.join(near.withColumnRenamed("bits", "own"), "own", "left").select(
         "doc_id", "n_chars", "edited_sha256", simhash.as_text(F.col("own")).alias("fingerprint"),
         simhash.as_text(F.col("edited")).alias("edited_fingerprint"),

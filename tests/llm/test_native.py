@@ -212,3 +212,41 @@ def test_contamination_equals_brute_force(spark, frame, block_words):
     empty = decontaminate.contamination(frame(rows), table.limit(0), carry=["doc_id"]).collect()
     assert all(r.n_hit == 0 and r["items"] == [] for r in empty)
     assert decontaminate.contamination(frame([]), table).collect() == []
+
+
+def test_near_documents_hold_texts_of_similarity_080(spark, tmp_path):
+    rng = random.Random(8)
+    runs = lambda words: {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+    rows, pairs = [], 0
+    for base in range(40):
+        words = [f"w{rng.getrandbits(30)}" for _ in range(rng.choice([100, 250, 800]))]
+        rows.append((50 * base, " ".join(words)))
+        for copy in range(1, 6):
+            near = list(words)
+            while True:
+                more = list(near)
+                more[rng.randrange(len(more))] = "changed"
+                if len(runs(words) & runs(more)) < 0.8 * len(runs(words) | runs(more)):
+                    break
+                near = more
+            rows.append((50 * base + copy, " ".join(near)))
+            pairs += 1
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = entry.queries()["op3_fingerprints"](spark, str(tmp_path)).collect()
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in got}
+    for r in got:
+        near = sum((prints[r.doc_id] ^ p).bit_count() <= simhash.NEAR_BITS for p in prints.values())
+        assert r.near_documents == (None if r.doc_id % 50 else near)
+    found = sum(r.near_documents - 1 for r in got if r.doc_id % 50 == 0)
+    assert 0.98 * pairs <= found <= pairs
+
+
+def test_near_counts_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ASKED_BLOCK", 7)
+    monkeypatch.setattr(simhash, "TASK_PAIRS", 50)
+    rng = random.Random(9)
+    base = rng.getrandbits(63)
+    rows = [(i, (base ^ (rng.getrandbits(63) & rng.getrandbits(63) & rng.getrandbits(63)), base)) for i in range(60)]
+    df = spark.createDataFrame(rows + rows[:5], "no long, bits struct<a:long,b:long>")
+    got = {tuple(r.bits): r.near for r in simhash.near_counts(df, F.col("no") % 3 == 0, 12).collect()}
+    assert got == {x: sum((x[0] ^ y[0]).bit_count() <= 12 for _, y in rows + rows[:5]) for i, x in rows if i % 3 == 0}
