@@ -5,9 +5,10 @@ tokens. A tree starts with all classes in one node; a node chooses one or two
 signature places by its own hash, and every class goes on to the child named by
 its token there, 1.25 children on average, so a pair at the threshold stays
 together in one child in expectation. Nodes of at most ``LEAF`` classes are
-compared exhaustively by signature; larger ones branch on. ``TREES``
-independent trees bring the chance to miss a pair at the threshold below one in
-ten thousand.
+compared exhaustively by signature; larger ones branch on. How often a pair
+dies out on the way grows with the depth of the leaves, so trees are added until
+``missed`` for the depth reached falls to ``MISS``: one in ten thousand pairs at
+the threshold, fewer above it. The scout trees below are not counted in.
 
 Signatures only propose pairs; a link counts when the full shingle sets confirm
 it. The first ``SCOUTS`` trees propose each class's likeliest pairs, so that
@@ -36,7 +37,11 @@ from catalogloom.llm.frames import map_texts
 from catalogloom.llm.shared import kept
 
 PLACES = 192
+#: Trees at least, and how many of those that the depth asks for run together.
 TREES = 12
+BATCH = 9
+#: Chance to miss a pair at the threshold.
+MISS = 1e-4
 LEAF = 64
 #: Trees that go first, levels they look at, and pivots and pairs of a class that they take.
 SCOUTS, SCOUT_LEVELS, SCOUT_PIVOTS, SCOUT_PAIRS = 3, 3, 16, 2
@@ -46,8 +51,8 @@ PIVOTS = 64
 SPLIT = 8_192
 #: Pairs of a class in a node that are confirmed first; its others are packed and confirmed if need be.
 FIRST_PAIRS = 4
-#: Distance below the threshold (in standard deviations of the agreement) from which on pairs are proposed.
-SLACK = 3.4
+#: Distance below the threshold (in standard deviations of the agreement) from which on pairs are proposed; 2e-5 lie lower.
+SLACK = 4.4
 #: Pairs each component confirms in the first wave; the second takes all that are left.
 FIRST_WAVE = 2
 #: Bytes of a shingle hash in a full set.
@@ -59,6 +64,37 @@ _SHIFT = _RANDOM.integers(0, 1 << 32, PLACES, dtype=np.uint32)
 _CHILD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def lowest(threshold: float) -> float:
+    """Agreement of signatures from which on pairs are proposed."""
+    return threshold - SLACK * math.sqrt(threshold * (1 - threshold) / PLACES)
+
+
+def missed(threshold: float, depth: int, trees: int) -> float:
+    """Chance that no tree with leaves at ``depth`` proposes a pair at the threshold.
+
+    All trees share one signature, so the chance is a mean over the places that
+    agree. With a share ``p`` of them, a pair in a node has one child with chance
+    3/4 and two else, and stays together in each with chance ``p``.
+    """
+    agreed = np.arange(PLACES + 1)
+    p = agreed / PLACES
+    ways = np.array([math.comb(PLACES, int(k)) * threshold ** int(k) * (1 - threshold) ** int(PLACES - k) for k in agreed])
+    gone = np.zeros(PLACES + 1)
+    for _ in range(depth):
+        child = 1 - p + p * gone
+        gone = 0.75 * child + 0.25 * child ** 2
+    return float((ways * np.where(p < lowest(threshold), 1, gone ** trees)).sum())
+
+
+def trees_needed(threshold: float, depth: int) -> int:
+    """Trees that bring ``missed`` to ``MISS``, or as far down as the tail below ``lowest`` lets it."""
+    goal = max(MISS, 1.25 * missed(threshold, 0, 1))
+    trees = 1
+    while missed(threshold, depth, trees) > goal:
+        trees += 1
+    return trees
+
+
 def _sets(b: W.Block, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes, sorted within their row, and where each row's begin (n + 1 positions)."""
     count = np.diff(b.first)
@@ -307,9 +343,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         run, "x long, y long, lx long, ly long, linked boolean")
 
 
-def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs (x, y, est) of some trees, and packed ones: a class x with members ``rest`` of the component y."""
-    low = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / PLACES)
+def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Proposed pairs (x, y, est) of some trees, packed ones (a class x with members ``rest`` of the component y), and the depth."""
+    low = lowest(threshold)
     steps = max(0, math.ceil(math.log(max(1, classes.count() / LEAF)) / math.log(12)))
     members = _roots(classes, steps, trees)
     signed = classes.select("id", "mark", F.col("n").alias("size"), "sig")
@@ -335,7 +371,7 @@ def _candidates(classes: DataFrame, threshold: float, trees: range, scout: bool)
         members = found.where(f"kind = {_MEMBER}").select(F.col("p").alias("node"), F.col("q").alias("id"))
         if members.isEmpty():
             break
-    return _union(edges), _union(rest)
+    return _union(edges), _union(rest), steps + len(edges) - 1
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -414,15 +450,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         more = kept(_full_sets(docs, doc_id, text, shingle, classes.select("id", "rep").join(wanted, "id")), "sets")
         return more if known is None else known.unionByName(more)
 
-    for some, scout in ((range(min(SCOUTS, trees)), True), (range(min(SCOUTS, trees), max(trees, SCOUTS + 1)), False)):
+    ran, wanted, packed = 0, max(trees, SCOUTS + 1), []
+    while ran < wanted:
+        scout = ran < SCOUTS
+        some = range(ran, SCOUTS if scout else min(wanted, ran + BATCH))
         marked = classes.withColumn("mark", F.col("id")) if labels is None else classes.join(labels, "id", "left").select(
             classes["*"], F.coalesce("root", "id").alias("mark"))
-        found, packed = _candidates(marked, threshold, some, scout)
+        found, more, depth = _candidates(marked, threshold, some, scout)
         pairs = kept(found.groupBy("x", "y").agg(F.max("est").alias("est")), "pairs")
         sets = _more_sets(sets, pairs)
         labels = _confirmed(pairs, sets, threshold, tried, labels)
+        packed.append(more)
+        if not scout:
+            wanted = max(wanted, SCOUTS + trees_needed(threshold, depth))
+        ran = some.stop
     # What a class shares with a component matters only while they are apart.
-    apart = _relabelled(packed, labels).select("x", F.explode("rest").alias("z"))
+    apart = _relabelled(_union(packed), labels).select("x", F.explode("rest").alias("z"))
     left = kept(apart.select(F.least("x", "z").alias("x"), F.greatest("x", "z").alias("y"), F.lit(0.0).alias("est")).distinct(),
                 "pairs")
     labels = _confirmed(left, _more_sets(sets, left), threshold, tried, labels)

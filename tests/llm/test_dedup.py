@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -87,6 +88,50 @@ def test_one_large_group_of_near_copies_stays_together(spark, frame):
     assert got == {i: c for i, (_, c) in expected.items()}
 
 
+def test_trees_follow_the_depth():
+    """Pairs that agree in exactly 0.8 of all places but for chance, through deep trees: the miss rate is as computed."""
+    rng = np.random.default_rng(6)
+    for depth in (0, 1, 3, 5, 10, 15):
+        trees = near_dedup.trees_needed(0.8, depth)
+        assert near_dedup.missed(0.8, depth, trees) <= near_dedup.MISS
+        assert trees == 1 or near_dedup.missed(0.8, depth, trees - 1) > near_dedup.MISS
+    assert near_dedup.trees_needed(0.8, 3) < near_dedup.trees_needed(0.8, 10) < near_dedup.trees_needed(0.8, 15)
+    pairs, depth = 2000, 10
+    one = rng.integers(0, 256, (pairs, near_dedup.PLACES), dtype=np.uint8)
+    two = np.where(rng.random(one.shape) < 0.8, one, rng.integers(0, 256, one.shape, dtype=np.uint8))
+    for trees, bound in ((9, None), (near_dedup.trees_needed(0.8, depth), 4)):
+        met = np.zeros(pairs, bool)
+        for start in near_dedup.W.mix(np.arange(1, trees + 1, dtype=np.uint64)):
+            sides = [set(zip(*(x.tolist() for x in near_dedup._descend(
+                sig, np.arange(pairs), np.full(pairs, start), depth)))) for sig in (one, two)]
+            met[[row for row, _ in sides[0] & sides[1]]] = True
+        gone = int((~met).sum())
+        assert gone <= bound if bound else 20 <= gone <= 100
+
+
+def test_pairs_of_a_shared_template_are_found_in_deep_trees(spark, frame, monkeypatch):
+    ran = []
+    candidates = near_dedup._candidates
+
+    def watched(classes, threshold, trees, scout):
+        out = candidates(classes, threshold, trees, scout)
+        ran.append((trees, scout, out[2]))
+        return out
+    monkeypatch.setattr(near_dedup, "_candidates", watched)
+    template = [f"t{i}" for i in range(150)]
+    rows = []
+    for k in range(120):
+        own = template + [f"o{k}_{i}" for i in range(60)]
+        near = own[:-23] + [f"n{k}_{i}" for i in range(23)]
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(near))]
+    expected = brute_components(rows, 2)
+    assert len({c for _, c in expected.values()}) == 120
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame(rows), shingle=2).collect()}
+    assert got == {i: c for i, (_, c) in expected.items()}
+    depth = max(d for _, scout, d in ran if not scout)
+    assert depth >= 3 and sum(len(t) for t, scout, _ in ran if not scout) >= near_dedup.trees_needed(0.8, depth) > 9
+
+
 def test_near_duplicates_of_an_empty_table(spark, frame):
     assert near_dedup.near_duplicates(frame([])).collect() == []
 
