@@ -1,0 +1,112 @@
+"""Texts as positions in small dictionaries of repeated units, block by block.
+
+A task cuts its texts into units (marked words, token windows), numbers the
+distinct ones of a block and keeps each text as a list of those numbers. Work
+on units then runs as joins over (block, number, unit) rows, each unit once for
+the whole corpus, and ``joined`` puts results back by position. A block closes
+at ``BLOCK_UNITS`` units, so a text is never spread over blocks and a block is
+bounded by that and one text. A unit occurs once in a block however often its
+texts repeat it, so a frequent one has no more rows than there are blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from catalogloom.llm.shared import kept
+
+BLOCK_UNITS = 600_000
+
+#: Cuts a batch of texts (null: None) into the units of each.
+Cutter = Callable[[list[str | None]], Iterable[list[bytes]]]
+
+
+def code(docs: DataFrame, text: str, carry: Sequence[str], cutter: Callable[[], Cutter]) -> tuple[DataFrame, DataFrame]:
+    """Coded rows (``_block``, ``_places``, ``_1`` ... for carry) and units (``_block``, ``no``, ``unit``, ``n`` times).
+
+    Both come from one written table, so they agree even when a task ran twice.
+    """
+    source = docs.select(docs[text].cast("string").alias("_0"), *[docs[c].alias(f"_{i + 1}") for i, c in enumerate(carry)])
+    held = [source.schema[f"_{i + 1}"] for i in range(len(carry))]
+    schema = T.StructType(held + T._parse_datatype_string(
+        "_block long, _places binary, _units array<binary>, _counts array<long>").fields)
+    names = schema.names
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, block = cutter(), TaskContext.get().partitionId() << 32
+        number: dict[bytes, int] = {}
+        parts: list[pa.RecordBatch] = []
+        places: list[np.ndarray] = []
+        total = 0
+
+        def closed() -> pa.RecordBatch:
+            every = np.concatenate(places)
+            kind = np.uint16 if len(number) <= 1 << 16 else np.uint32
+            columns = [pa.concat_arrays([p.column(i) for p in parts]) for i in range(len(carry))]
+            rows = len(places)
+            first = lambda x, of: pa.array([x] + [None] * (rows - 1), pa.list_(of))
+            return pa.RecordBatch.from_arrays([
+                *columns, pa.array(np.full(rows, block)),
+                pa.array([kind().nbytes.to_bytes(1, "little") + p.astype(kind).tobytes() for p in places], pa.binary()),
+                first(list(number), pa.binary()),
+                first(np.bincount(every, minlength=len(number)).tolist(), pa.int64())], names=names)
+
+        for batch in batches:
+            low = 0
+            kept_columns = pa.RecordBatch.from_arrays(batch.columns[1:], names=names[:len(carry)]) if carry else None
+            for i, units in enumerate(cut(batch.column(0).to_pylist())):
+                places.append(np.fromiter((number.setdefault(u, len(number)) for u in units), np.int64, len(units)))
+                total += len(units)
+                if total >= BLOCK_UNITS:
+                    if carry:
+                        parts.append(kept_columns.slice(low, i + 1 - low))
+                    low = i + 1
+                    yield closed()
+                    number.clear()
+                    parts, places, total = [], [], 0
+                    block += 1
+            if carry and low < batch.num_rows:
+                parts.append(kept_columns.slice(low))
+        if places:
+            yield closed()
+
+    table = kept(source.mapInArrow(run, schema), "coded")
+    units = table.where("_units is not null").select("_block", F.posexplode(F.arrays_zip("_units", "_counts"))).select(
+        "_block", F.col("pos").alias("no"), F.col("col._units").alias("unit"), F.col("col._counts").alias("n"))
+    return table.drop("_units", "_counts"), units
+
+
+def places_of(raw: bytes) -> np.ndarray:
+    """The unit numbers of a coded text."""
+    return np.frombuffer(raw, np.uint16 if raw[0] == 2 else np.uint32, offset=1)
+
+
+#: Makes the new columns of a block: the numbers of each text, and the block's units sorted by number.
+Builder = Callable[[list[np.ndarray], pa.Table], dict[str, object]]
+
+
+def joined(rows: DataFrame, carry: Sequence[str], units: DataFrame, fields: str, build: Builder) -> DataFrame:
+    """Carried columns and new ones that ``build`` makes from each block's texts and units (``_block``, ``no``, ...)."""
+    new = T._parse_datatype_string(fields)
+    stay = [(f"_{i + 1}", c) for i, c in enumerate(carry) if c not in new.names]
+    schema = T.StructType([rows.schema[c] for c, _ in stay] + list(new.fields))
+    work = partial(_block, [c for c, _ in stay], to_arrow_schema(new), build)
+    named = units.withColumnRenamed("_block", "_of")
+    made = rows.groupBy("_block").cogroup(named.groupBy("_of")).applyInArrow(work, schema)
+    return made.select(*[F.col(c).alias(name) for c, name in stay], *new.names)
+
+
+def _block(stay: list[str], arrow: pa.Schema, build: Builder, texts: pa.Table, units: pa.Table) -> pa.Table:
+    made = build([places_of(p) for p in texts["_places"].to_pylist()], units.sort_by("no"))
+    return pa.table([texts[c] for c in stay] + [
+        v if isinstance(v := made[f.name], (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f in arrow],
+        names=stay + arrow.names)

@@ -13,8 +13,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 Maker = Callable[[], Callable[[pa.Array], dict[str, object]]]
 
 
-def map_texts(docs: DataFrame, text: str, carry: Sequence[str] | None, fields: str, maker: Maker) -> DataFrame:
-    """``docs`` with new columns computed from a text column, batch by batch.
+def map_texts(docs: DataFrame, text: str, carry: Sequence[str] | None, fields: str, maker: Maker,
+              kind: str = "string") -> DataFrame:
+    """``docs`` with new columns computed from a text column (or one of another ``kind``), batch by batch.
 
     ``carry`` names the columns to keep (all when None). A new column replaces
     a kept one of the same name. Rows keep their partition and their order, so
@@ -25,7 +26,7 @@ def map_texts(docs: DataFrame, text: str, carry: Sequence[str] | None, fields: s
     kept = [c for c in (docs.columns if carry is None else carry) if c not in names]
     schema = T.StructType([docs.schema[c] for c in kept] + list(new.fields))
     arrow = to_arrow_schema(new)
-    source = docs.select(docs[text].cast("string").alias("_0"), *[docs[c].alias(f"_{i + 1}") for i, c in enumerate(kept)])
+    source = docs.select(docs[text].cast(kind).alias("_0"), *[docs[c].alias(f"_{i + 1}") for i, c in enumerate(kept)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = maker()

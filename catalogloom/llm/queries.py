@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogloom.llm import (decontaminate, language, near_dedup, packing, quality, secrets, sharding, simhash,
-                              substring_dedup, tokens)
+from catalogloom.llm import (alignment, decontaminate, language, near_dedup, packing, pieces, quality, secrets, sharding,
+                              simhash, substring_dedup, tokens)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,13 +59,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _vocabulary(name: str, given: str | None = None) -> str:
+    """The path given, or that of a public tokenizer file."""
+    if given is None:
+        import public_tokenizers
+        return public_tokenizers.path(name)
+    return given
+
+
 @_query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Documents in sequences of at most 2048 tokens."""
-    if tokenizer is None:
-        import public_tokenizers
-        tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer)
+    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json", tokenizer))
 
 
 @_query("op10_sharding")
@@ -93,10 +98,8 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Words and greedy word pieces of all documents."""
-    if vocabulary is None:
-        import public_tokenizers
-        vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return tokens.token_counts(_table(spark, sf_dir, "documents"), vocabulary, carry=["doc_id"])
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken", vocabulary),
+                               carry=["doc_id"])
 
 
 @_query("op4_secrets")
@@ -169,3 +172,20 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from heuristics that label them."""
     docs = _table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs), carry=["doc_id"])
+
+
+@_query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str, one: str | None = None, two: str | None = None) -> DataFrame:
+    """Tokens of two vocabularies aligned in all documents, with corpus-wide counts of linked ids."""
+    found = alignment.aligned(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json", one),
+                              _vocabulary("piece_bpe_32k.model", two), carry=["doc_id"])
+    return found.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+
+
+@_query("op13_pieces")
+def op13_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """All documents as pieces with begin and end ids, and back."""
+    model = _vocabulary("piece_bpe_32k.model", model)
+    coded = pieces.encode(_table(spark, sf_dir, "documents"), model, carry=["doc_id"])
+    return pieces.decode(coded, model).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                                              F.sha2("decoded", 256).alias("decoded_sha256"))
