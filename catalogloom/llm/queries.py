@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogloom.llm import (alignment, decontaminate, language, near_dedup, packing, pieces, quality, secrets, sharding,
-                              simhash, substring_dedup, tokens)
+                              simhash, substring_dedup, tokens, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -182,6 +182,12 @@ def op11_alignment(spark: SparkSession, sf_dir: str, one: str | None = None, two
     return found.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
 
 
+@_query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the sixteen strongest directions, each of variance one."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), carry=["vec_id"], components=16)
+
+
 @_query("op13_pieces")
 def op13_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """All documents as pieces with begin and end ids, and back."""

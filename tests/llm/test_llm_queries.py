@@ -16,5 +16,5 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
