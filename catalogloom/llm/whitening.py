@@ -80,8 +80,7 @@ def _factor(fit: DataFrame, width: int, n: int, total: np.ndarray) -> np.ndarray
     groups = int(parts.agg(F.max("part")).first()[0]) + 1
     while groups > 1:
         groups = -(-groups // MERGED)
-        parts = parts.groupBy(F.pmod("part", F.lit(groups)).alias("part")).applyInArrow(
-            lambda key, table: merge(table), "part long, r binary")
+        parts = parts.withColumn("part", F.pmod("part", F.lit(groups))).groupBy("part").applyInArrow(merge, "part long, r binary")
     whole = np.frombuffer(parts.first().r, float).reshape(-1, width)
     return np.concatenate([whole, np.zeros((width - len(whole), width))])
 

@@ -96,6 +96,16 @@ def test_fewer_vectors_than_dimensions_and_repeats(spark):
     assert all(r.n == 3 and r.identity_error < 1e-12 for r in made)
 
 
+def test_factors_of_many_tasks_are_merged(spark):
+    x = np.random.default_rng(5).integers(0, 50, (400, 6))
+    fit = spark.createDataFrame([(row,) for row in x.tolist()], "_x array<long>").repartition(37)
+    n, total = whitening._sums(fit, 6)
+    assert n == 400 and total.tolist() == x.sum(axis=0).tolist()
+    r = whitening._factor(fit, 6, n, total)
+    centred = x - x.mean(axis=0)
+    assert np.allclose(r.T @ r, centred.T @ centred)
+
+
 def test_a_deviation_beyond_a_long_is_null(spark):
     rows = [(i, [float(i) * 2.0 ** 30, 1.0]) for i in range(8)]
     made = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
