@@ -3,24 +3,26 @@
 White space becomes a marker, and a text begins with one. When no piece of the
 model reads over the start of a marker run and the model takes text as it is,
 the text's segmentation is that of its marked words: runs of markers with what
-follows. Each distinct marked word of the corpus is then segmented once, as a
-row of a table, and the ids are joined back to the texts by position. For other
-models the unit is the whole text.
+follows. A task cuts a block of texts into marked words, segments each distinct
+one once and joins the ids back by position. For other models the unit is the
+whole text. The table stays in the task: no row is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from catalogloom.llm.coded import code, joined
 from catalogloom.llm.frames import map_texts
 
 MARK = "▁"
+#: Characters of text in a block, and distinct words that a worker remembers before its table starts anew.
+BLOCK_CHARS = 1 << 21
+REMEMBERED = 500_000
 _MARKED = re.compile(" +[^ ]*")
 
 
@@ -78,6 +80,41 @@ def segment(sp, words: list[str]) -> list[list[int]]:
     return ids
 
 
+class PartTable:
+    """Ids of the distinct parts of texts, packed; a new part is encoded once, and a text's ids are joined by position."""
+
+    def __init__(self, parts: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]]):
+        self.parts, self.encode, self.known = parts, encode, {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        cut = [self.parts(t) for t in texts]
+        new = list({p for c in cut for p in c if p not in self.known})
+        self.known.update(zip(new, (np.array(x, "<u4").tobytes() for x in self.encode(new))) if new else ())
+        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+
+
+def word_table(sp) -> PartTable:
+    """The table of a model's marked words, or of whole texts where these cannot stand alone."""
+    if separable(sp):
+        return PartTable(marked_words, lambda words: segment(sp, words))
+    return PartTable(lambda t: [t] if t else [], lambda texts: sp.encode(texts, num_threads=1))
+
+
+def blocks(texts: list[str | None]) -> Iterator[list[str]]:
+    """Consecutive texts of bounded size; a null is an empty text, a longer text a block of its own."""
+    block, size = [], 0
+    for t in texts:
+        block.append(t or "")
+        size += len(block[-1])
+        if size >= BLOCK_CHARS:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def encode(docs: DataFrame, model: str, text: str = "text", carry: Sequence[str] | None = None,
            begin: bool = True, end: bool = True) -> DataFrame:
     """``docs`` with ``ids`` (little-endian unsigned 32-bit, packed) and ``n_tokens``, as the library encodes each text.
@@ -86,52 +123,27 @@ def encode(docs: DataFrame, model: str, text: str = "text", carry: Sequence[str]
     name is replaced. A null or empty text has only the begin and end ids that
     are asked for. Repeated rows stay separate rows; an empty table gives none.
     """
-    stay = list(docs.columns if carry is None else carry)
-
-    def cutter():
-        whole = not separable(processor(model))
-
-        def cut(texts):
-            for t in texts:
-                t = t or ""
-                yield [w.encode() for w in (([t] if t else []) if whole else marked_words(t))]
-        return cut
-
-    def segmented(batches):
-        sp = processor(model)
-        alone = separable(sp)
-        for batch in batches:
-            words = [w.decode() for w in batch.column(0).to_pylist()]
-            ids = segment(sp, words) if alone else sp.encode(words, num_threads=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([np.array(x, "<u4").tobytes() for x in ids], pa.binary())],
-                names=["unit", "unit_ids"])
-
-    def build(places: list[np.ndarray], units: pa.Table) -> dict[str, object]:
+    def maker():
         sp = processor(model)
-        head = np.array([sp.bos_id()] if begin else [], "<u4").tobytes()
-        tail = np.array([sp.eos_id()] if end else [], "<u4").tobytes()
-        of = units["unit_ids"].to_pylist()
-        ids = [head + b"".join(map(of.__getitem__, p.tolist())) + tail for p in places]
-        return {"ids": pa.array(ids, pa.binary()), "n_tokens": [len(x) // 4 for x in ids]}
+        table = word_table(sp)
+        head, tail = (np.array(x, "<u4").tobytes() for x in ([sp.bos_id()] * begin, [sp.eos_id()] * end))
 
-    rows, units = code(docs, text, stay, cutter)
-    table = units.select("unit").distinct().mapInArrow(segmented, "unit binary, unit_ids binary")
-    found = units.join(table, "unit").select("_block", "no", "unit_ids")
-    return joined(rows, stay, found, "ids binary, n_tokens long", build)
+        def work(texts: pa.Array):
+            ids = [head + x + tail for block in blocks(texts.to_pylist()) for x in table.ids(block)]
+            return {"ids": ids, "n_tokens": [len(x) // 4 for x in ids]}
+        return work
+    return map_texts(docs, text, carry, "ids binary, n_tokens long", maker)
 
 
 def decode(coded: DataFrame, model: str, ids: str = "ids", carry: Sequence[str] | None = None) -> DataFrame:
-    """``coded`` with ``decoded``: the library's text of each row's packed ids; null ids give an empty text.
+    """``coded`` with ``decoded``: the library's text of each row's packed ids; null or no ids give an empty text.
 
     An id outside the vocabulary is an error of the library.
     """
-    stay = list(coded.columns if carry is None else carry)
-
     def maker():
         sp = processor(model)
 
         def work(packed: pa.Array):
-            return {"decoded": [sp.decode(np.frombuffer(x or b"", "<u4").tolist()) if x else "" for x in packed.to_pylist()]}
+            return {"decoded": [sp.decode(np.frombuffer(x, "<u4").tolist()) if x else "" for x in packed.to_pylist()]}
         return work
-    return map_texts(coded, ids, stay, "decoded string", maker, kind="binary")
+    return map_texts(coded, ids, carry, "decoded string", maker, kind="binary")
