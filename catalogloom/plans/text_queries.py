@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import measures
+from ..functions import fixed, measures
 from ..functions.scale import running_totals
 from ..functions.text import clean_unicode, natural_key, squeeze, title_key
 from ..operators import catalog, links, people, series, titles
@@ -214,6 +214,46 @@ def jn6(t: Tables):
         "item", F.expr(people.names_any("left", "authors", "known")).alias("named"))
 
 
+_WORDS = "regexp_extract_all(lower({0}), '[a-zа-яё0-9]+')"
+_NOISE = "('" + "', '".join(fixed.PERSON_TOKEN_NOISE) + "')"
+
+
+@query("jn6_people_across_tables", "with recursive d as (select doc_id, array_to_string(" + _WORDS.format("text") + "[1:2], ' ') as txt from documents), "
+       "b as (select array_to_string(" + _WORDS.format("text") + "[1:3], ' ') as name from benchmark), "
+       "people as (select ts, min(name) as match from (select name, list_sort([w for w in " + _WORDS.format("name")
+       + " if w not in " + _NOISE + "]) as ts from (select distinct name from b) q) k where len(ts) > 0 group by ts), "
+       "texts as (select distinct txt, [w for w in " + _WORDS.format("txt") + " if w not in " + _NOISE + """] as ws from d),
+readings as (select txt, [w for w in list_distinct(ws) if len(w) > 1] as r from texts
+  union select txt, [w for w in [ws[1] || ws[2]] if len(w) > 1] from texts where len(ws) = 2),
+words as (select distinct unnest(r) as w from readings), tokens as (select distinct unnest(ts) as t from people),
+boxes as (select w, t, w as a, t as b, 0 as hit from words, tokens where w <> t and least(len(w), len(t)) >= 4
+    and 200 * least(len(w), len(t)) >= 84 * (len(w) + len(t)) and 100 * levenshtein(w, t) <= 16 * (len(w) + len(t))
+  union all
+  select w, t, x.side.a, x.side.b, x.side.hit from (select w, t, unnest([
+      {'a': a[1:i - 1], 'b': b[1:strpos(b, a[i:i + k - 1]) - 1], 'hit': k},
+      {'a': a[i + k:], 'b': b[strpos(b, a[i:i + k - 1]) + k:], 'hit': 0}]) as side
+    from (select w, t, a, b, i, k from (select w, t, a, b, i, k, row_number() over (partition by w, t, a, b order by k desc, i) as no
+      from (select w, t, a, b, i, unnest(range(1, len(a) - i + 2)) as k from (
+        select w, t, a, b, unnest(range(1, len(a) + 1)) as i from boxes where a <> '' and b <> '') s1) s2
+      where contains(b, a[i:i + k - 1])) s3 where no = 1) s4) x),
+close as (select w, t from words, tokens where w = t or (len(w) = 1 and len(t) > 1 and starts_with(t, w))
+    or (len(t) = 1 and len(w) > 1 and starts_with(w, t))
+  union select w, t from boxes group by w, t having 200 * sum(hit) >= 84 * (len(w) + len(t))),
+places as (select ts, match, unnest(range(1, len(ts) + 1)) as i from people),
+near as (select r, ts, match, 1 as no, i from (select distinct r from readings where len(r) > 0) q, places, close where w = r[1] and t = ts[i]
+  union select r, ts, match, 2, i from (select distinct r from readings where len(r) = 2) q, places, close where w = r[2] and t = ts[i]),
+firsts as (select r, ts, match, min(i) as i from near where no = 1 group by all),
+named as (select r, match from firsts where len(r) = 1
+  union select f.r, f.match from firsts f join near n on n.r = f.r and n.ts = f.ts and n.no = 2 and n.i <> f.i)
+select distinct doc_id, match from d join readings using (txt) join named using (r)""")
+def jn6_across(t: Tables):
+    """People called by the first three words of a passage, named by the first two words of a document."""
+    words = lambda n: F.array_join(F.slice(F.regexp_extract_all(
+        F.lower("text"), F.lit("([a-zа-яё0-9]+)"), 1), 1, n), " ")
+    left = t.documents.select("doc_id", words(2).alias("txt"))
+    return people.match_people_fuzzy(left, t.benchmark.select(words(3).alias("name")), "txt", "name").select("doc_id", "match")
+
+
 @query("jn5_same_people", """
 with names as (select distinct p_name, array_to_string(list_sort(string_split(p_name, ' ')), ' ') as k from part),
 rev as (select p_partkey, split_part(p_name, ' ', 2) || '  ' || upper(split_part(p_name, ' ', 1)) as written, p_name from part)
