@@ -275,6 +275,27 @@ def jn7(t: Tables):
     return titles.match_titles(t.benchmark, t.documents, "item_id", "doc_id", "text", "text")
 
 
+@query("jn7_titles_by_rules", """
+with b as (select item_id * 4 + k as title_no, lower(trim(regexp_replace(case k when 0 then split_part(text, '.', 1)
+      when 1 then array_to_string(string_split_regex(text, '\\s+')[1:2], ' ') when 2 then substr(text, 2, 4)
+      else split_part(text, '.', 2) || '!' end, '\\s+', ' ', 'g'))) as t from benchmark, range(4) as r(k)),
+d as (select doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as t from documents where text is not null),
+bw as (select *, """ + _TOK.format("t") + " as w, regexp_replace(t, '[^\\p{L}\\p{N}]', '', 'g') as key from b where t <> ''), "
+       "dw as (select *, " + _TOK.format("t") + """ as w, regexp_replace(t, '[^\\p{L}\\p{N}]', '', 'g') as key from d where t <> ''),
+p as (select title_no, doc_id, bw.key as bk, dw.key as dk, bw.t as bt, dw.t as dt, len(list_intersect(bw.w, dw.w)) as n, len(bw.w) as nb, len(dw.w) as nd from bw, dw)
+select title_no, doc_id, rule from (select *, case when bk <> '' and bk = dk then 'equal key' when contains(dt, bt) or contains(bt, dt) then 'contained'
+  when n > 0 and n >= nb * 0.67 - 1e-9 then 'shared words' when n >= 4 and n >= least(nb, nd) * 0.6 - 1e-9 then 'shared most' end as rule from p) q
+where rule is not null""")
+def jn7_rules(t: Tables):
+    """Sentences, word pairs and letters of the passages as titles, whole documents as subjects."""
+    sentence = lambda n: F.coalesce(F.get(F.split("text", r"\."), F.lit(n)), F.lit(""))
+    kinds = F.array(sentence(0), F.array_join(F.slice(F.split("text", r"\s+"), 1, 2), " "), F.substring("text", 2, 4),
+                    _cat(sentence(1), "!"))
+    bodies = t.benchmark.select("item_id", F.posexplode(kinds).alias("k", "title")).select(
+        (F.col("item_id") * 4 + F.col("k")).alias("title_no"), "title")
+    return titles.match_titles_by_rules(bodies, t.documents, "title_no", "doc_id", "title", "text")
+
+
 @query("jn9_reconciled_titles", """
 select p_partkey, case p_partkey % 5 when 0 then p_name when 1 then p_name || ' volume' when 2 then upper(p_name) || '!' when 3 then p_name || ' stored' else p_name || ' stays' end as title,
   case p_partkey % 5 when 0 then 'gone' when 1 then 'new' else 'both' end as side from part""")
