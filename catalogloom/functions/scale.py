@@ -6,6 +6,7 @@ Nothing here sorts or collects a whole group in one task:
   results shrink a hot group before the shuffle;
 * running totals are computed per (key, chunk) and the totals of earlier chunks
   of the same key are added as an offset, so the largest sort is one chunk;
+  chunks are order statistics of the rows, so each has about as many of them;
 * bounded top-N uses ``row_number() <= n``, which Spark turns into a partial
   ``WindowGroupLimit`` below the exchange.
 """
@@ -16,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 LITERAL_ROWS_LIMIT = 2_000
@@ -43,13 +45,61 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
     return kept if rank else kept.drop(name)
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                   chunk: Column | str, sums: Mapping[str, Column],
-                   totals: Mapping[str, str] | None = None) -> DataFrame:
+#: Chunks at most, and rows of the sample on which the borders of one rest.
+MOST_CHUNKS, SAMPLED = 512, 64
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    """A collected value as a literal of its type."""
+    if value is None:
+        return F.lit(None).cast(kind)
+    if isinstance(kind, T.ArrayType):
+        return F.array(*[_literal(v, kind.elementType) for v in value]).cast(kind)
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind])
+    return F.lit(value).cast(kind)
+
+
+def order_borders(df: DataFrame, order: Sequence[Column], chunks: int | None = None) -> list[Column]:
+    """Literals that cut the rows of ``df``, in ascending order of ``order``, into parts of about equal size.
+
+    They are order statistics of a random sample of ``SAMPLED`` rows a chunk,
+    gathered by one aggregate over at most ``MOST_CHUNKS * SAMPLED`` narrow
+    rows. The cut is exact for any borders; the sample only evens the sizes.
+    """
+    if chunks is None:
+        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(1, min(MOST_CHUNKS, chunks))
+    narrow = df.select(F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)]).alias("_place"))
+    share = SAMPLED * chunks / max(1, narrow.count())
+    picked = narrow.where(F.rand(17) < share) if share < 1 else narrow
+    every = F.sort_array(F.collect_list("_place"))
+    found = picked.agg(every.alias("_all")).select(F.expr(
+        f"transform(sequence(1, {chunks}), i -> get(_all, cast(floor(i * size(_all) / {chunks}D) as int)))").alias("_all")).first()[0]
+    kind = narrow.schema["_place"].dataType
+    distinct = [x for i, x in enumerate(found) if x is not None and (i == 0 or x != found[i - 1])]
+    return [_literal(x, kind) for x in distinct]
+
+
+def chunk_between(place: Column, borders: Sequence[Column]) -> Column:
+    """How many of the ascending ``borders`` are not above ``place``: a balanced tree of comparisons."""
+    def below(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(place < borders[middle], below(low, middle)).otherwise(below(middle + 1, high))
+    return below(0, len(borders))
+
+
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column],
+                   totals: Mapping[str, str] | None = None, chunk: Column | str | None = None) -> DataFrame:
     """Inclusive running sums per key, in two levels.
 
-    ``chunk`` is any non-decreasing function of ``order`` (an hour, an id
-    range), or the name of a column that already holds one. Level one sums each
+    Rows are cut into chunks by order statistics of ``order`` (ascending), so a
+    chunk holds about as many rows as any other, whatever values are common;
+    only rows equal in the whole of ``order`` stay together. A caller that
+    knows a good non-decreasing function of ``order`` (a line number range), or
+    has it as a column, may name it as ``chunk`` and spares the sample. Level one sums each
     (key, chunk) with map-side combine; level two adds the sums of the key's
     earlier chunks. Rows are shuffled once, by (key, chunk), so a hot key
     spreads over as many tasks as it has chunks.
@@ -58,6 +108,12 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     it should carry. A null key or chunk is a value like others: rows meet in
     a struct of key and chunk, in which nulls are equal.
     """
+    if chunk is None:
+        borders = order_borders(df, order)
+        place = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+        placed = df.withColumn("_place", place)
+        chunked = placed.withColumn("_chunk_no", chunk_between(F.col("_place"), borders)).drop("_place")
+        return running_totals(chunked, keys, order, sums, totals, "_chunk_no").drop("_chunk_no")
     keys = list(keys)
     named = isinstance(chunk, str)
     c = chunk if named else "_chunk"
@@ -79,18 +135,6 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return out.drop("_cell", *([] if named else [c]), *[f"_before_{name}" for name in sums])
 
 
-def in_segments(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,
-                rows_per_segment: int, rank: str = "ord", segment: str = "segment") -> DataFrame:
-    """Number the rows of each key and cut the numbering into bounded segments.
-
-    Nested output is built per (key, segment), so an array never holds more
-    than ``rows_per_segment`` elements and no row is dropped.
-    """
-    numbered = running_totals(df, keys, order, chunk, {rank: F.lit(1)})
-    return numbered.withColumn(
-        segment, F.floor((F.col(rank) - 1) / F.lit(rows_per_segment)).cast("long"))
-
-
 def ordered_text(value: str, order: str, sep: str = " ") -> Column:
     """Concatenate a bounded group in order."""
     return F.expr(f"listagg({value}, '{sep}') within group (order by {order})")

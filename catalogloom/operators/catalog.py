@@ -242,7 +242,7 @@ def roll_up_measures(items: DataFrame, parts: DataFrame, key: str, stated: str =
 def numbered_children(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,
                       payload: Sequence[str], rank: str = "ord") -> DataFrame:
     """AGG5, flat: one row per child with its position under its key, however many a key has."""
-    return running_totals(rows, keys, order, chunk, {rank: F.lit(1)}).select(*keys, rank, *payload)
+    return running_totals(rows, keys, order, {rank: F.lit(1)}, chunk=chunk).select(*keys, rank, *payload)
 
 
 def assemble_nested(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column,

@@ -68,25 +68,24 @@ def advance_or_hold(state: DataFrame, plan: DataFrame, outcomes: DataFrame,
         choose(F.lit(False), F.col("complete"), F.col("next_complete")).alias("complete"), "decision")
 
 
-def cap_by_budget(rows: DataFrame, order: Sequence[Column], chunk: Column, is_unknown: Column, budget: int,
+def cap_by_budget(rows: DataFrame, order: Sequence[Column], is_unknown: Column, budget: int,
                   keys: Sequence[str] = ()) -> DataFrame:
     """WIN3: process the first N unknown rows in traversal order, defer the rest.
 
     Two phases: unknown rows per chunk, then the offset of each chunk, so only
     one row per chunk meets in the ordered step. Known rows are never deferred.
     """
-    counted = running_totals(rows.withColumn("_u", is_unknown.cast("int")), list(keys), order, chunk,
-                             {"_seen": F.col("_u")})
+    counted = running_totals(rows.withColumn("_u", is_unknown.cast("int")), list(keys), order, {"_seen": F.col("_u")})
     return counted.withColumn("status", F.when(F.col("_u") == 0, "known").when(
         F.col("_seen") <= budget, "process").otherwise("deferred")).drop("_u", "_seen")
 
 
-def confirm_after_n(deliveries: DataFrame, key: str, order: Column, chunk: Column, n: int) -> DataFrame:
+def confirm_after_n(deliveries: DataFrame, key: str, order: Column, n: int) -> DataFrame:
     """STR4, batch: each delivery's count so far and status; confirmed at the n-th.
 
     ``replay_pending`` before, ``confirmed`` at, ``known`` after the n-th success.
     """
-    counted = running_totals(deliveries, [key], [order], chunk, {"successes": F.lit(1)})
+    counted = running_totals(deliveries, [key], [order], {"successes": F.lit(1)})
     return counted.withColumn("status", F.when(F.col("successes") < n, "replay_pending").when(
         F.col("successes") == n, "confirmed").otherwise("known"))
 

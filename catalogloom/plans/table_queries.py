@@ -22,9 +22,6 @@ def _cents(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("long")
 
 
-def _hour(ts: str = "ts") -> Column:
-    return F.floor(F.unix_timestamp(ts) / 3600)
-
 
 # ---------------------------------------------------------------- AGG1, AGG3, AGG5-8
 
@@ -139,7 +136,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (partit
  row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as zero_based from lineitem""")
 def win1(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    numbered = running_totals(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], _line_chunk(), {"position": F.lit(1)})
+    numbered = running_totals(lines, ["l_orderkey"], [F.col(c) for c in _LINE_ORDER], {"position": F.lit(1)}, chunk=_line_chunk())
     return numbered.withColumn("zero_based", F.col("position") - 1)
 
 
@@ -169,7 +166,7 @@ select event_id, case when event_type <> 'error' then 'known' when sum(case when
   then 'process' else 'deferred' end as status from events""")
 def win3(t: Tables):
     rows = t.events.select("event_id", "ts", "event_type")
-    capped = incremental.cap_by_budget(rows, [F.col("ts"), F.col("event_id")], _hour(), F.col("event_type") == "error", 100)
+    capped = incremental.cap_by_budget(rows, [F.col("ts"), F.col("event_id")], F.col("event_type") == "error", 100)
     return capped.select("event_id", "status")
 
 
@@ -179,7 +176,7 @@ select user_id, segment, count(*) as events, min(event_id) as first_event, sum(c
   count(*) filter (event_type = 'purchase') as purchases from s group by all""")
 def win4(t: Tables):
     rows = t.events.select("user_id", "ts", "event_id", "event_type", "value")
-    marked = running_totals(rows, ["user_id"], [F.col("ts"), F.col("event_id")], F.date_trunc("hour", "ts"),
+    marked = running_totals(rows, ["user_id"], [F.col("ts"), F.col("event_id")],
                             {"segment": (F.col("event_type") == "signup").cast("int")})
     return marked.groupBy("user_id", "segment").agg(
         F.count("*").alias("events"), F.min("event_id").alias("first_event"), F.sum(_cents("value")).alias("cents"),
@@ -555,7 +552,7 @@ select *, case when successes < 13 then 'replay_pending' when successes = 13 the
 def str4(t: Tables):
     bought = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     order = F.struct("ts", "event_id")
-    return incremental.confirm_after_n(bought, "user_id", order, F.date_trunc("hour", "ts"), 13).select("event_id", "user_id", "successes", "status")
+    return incremental.confirm_after_n(bought, "user_id", order, 13).select("event_id", "user_id", "successes", "status")
 
 
 @query("str4_key_state", "select user_id, count(*) as successes, count(*) >= 13 as confirmed from events where event_type = 'purchase' group by 1")

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from catalogloom.functions.scale import first_by, in_segments, running_totals
+from catalogloom.functions.scale import chunk_between, first_by, order_borders, running_totals
 from catalogloom.operators import incremental, titles
 from catalogloom.session import scratch_dir
 from catalogloom.sources import feed, files, state
@@ -68,14 +68,33 @@ def test_running_totals_on_a_hot_key(spark):
     rng = random.Random(7)
     rows = [("hot" if rng.random() < 0.7 else f"k{rng.randrange(9)}", i, rng.randrange(5)) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, i int, v int")
-    got = running_totals(df, ["k"], [F.col("i")], F.floor(F.col("i") / 100), {"upto": F.col("v")}, {"whole": "upto"}).collect()
+    got = running_totals(df, ["k"], [F.col("i")], {"upto": F.col("v")}, {"whole": "upto"}).collect()
     sums, expected = {}, {}
     for k, i, v in rows:
         sums[k] = sums.get(k, 0) + v
         expected[i] = sums[k]
     assert {r.i: r.upto for r in got} == expected and all(r.whole == sums[r.k] for r in got)
-    segments = in_segments(df, ["k"], [F.col("i")], F.floor(F.col("i") / 100), 50).groupBy("k", "segment").count().collect()
-    assert max(r["count"] for r in segments) == 50 and sum(r["count"] for r in segments) == 2000
+    named = running_totals(df, ["k"], [F.col("i")], {"upto": F.col("v")}, chunk=F.floor(F.col("i") / 100)).collect()
+    assert {r.i: r.upto for r in named} == expected
+
+
+def test_a_busy_hour_spreads_over_all_chunks(spark):
+    """A third of the rows stand at one value of the first order column; odd types and nulls have borders too."""
+    rows = [(7 if i % 3 == 0 else i % 90, [str(i % 11), None if i % 13 == 0 else "x"], i, None if i % 17 == 0 else i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "hour int, path array<string>, i int, j int")
+    order = [F.col(c) for c in ("hour", "path", "j", "i")]
+    borders = order_borders(df, order, 16)
+    place = F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)])
+    chunks = df.withColumn("c", chunk_between(place, borders))
+    sizes = [r["count"] for r in chunks.groupBy("c").count().collect()]
+    assert len(sizes) == 16 or len(sizes) == 17
+    assert max(sizes) < 3 * 6000 / 16
+    busy = chunks.where("hour = 7").select("c").distinct().count()
+    assert busy >= 4
+    none = lambda x: (x is not None, x if x is not None else 0)
+    got = [r.i for r in running_totals(df, [], order, {"no": F.lit(1)}).orderBy("no").collect()]
+    want = sorted(rows, key=lambda r: (r[0], [none(x) if x is not None else (False, "") for x in r[1]], none(r[3]), r[2]))
+    assert got == [r[2] for r in want]
 
 
 def test_first_by_is_independent_of_partitioning(spark):
@@ -159,7 +178,7 @@ def test_running_totals_with_null_keys_and_chunks(spark):
     rows = [(None, 1, 5), (None, 2, 7), ("a", 1, 1), (None, None, 2), ("a", None, 3)]
     df = spark.createDataFrame(rows, "k string, i int, v int")
     got = {(r.k, r.i): (r.upto, r.whole) for r in running_totals(
-        df, ["k"], [F.col("i")], "i", {"upto": F.col("v")}, {"whole": "upto"}).collect()}
+        df, ["k"], [F.col("i")], {"upto": F.col("v")}, {"whole": "upto"}, "i").collect()}
     assert got == {(None, None): (2, 14), (None, 1): (7, 14), (None, 2): (14, 14), ("a", None): (3, 4), ("a", 1): (4, 4)}
 
 
