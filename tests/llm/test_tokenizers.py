@@ -22,7 +22,7 @@ def _brute_align(texts):
     a_tok = Tokenizer.from_file(BYTES)
     a_tok.encode_special_tokens = True
     sp = pieces.processor(MODEL)
-    raw_a, raw_b = alignment.ByteLevel(BYTES).raw, alignment.Pieces(MODEL).raw
+    raw_a, raw_b = alignment.byte_level(BYTES).raw, alignment.sentence_pieces(MODEL).raw
     found, count = [], Counter()
     for t in texts:
         a = a_tok.encode(" " + t, add_special_tokens=False).ids if t else []
@@ -89,12 +89,38 @@ def test_pieces_query_equals_the_library(spark, sf):
         assert mine.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
 
 
-def test_small_blocks_give_the_same_pieces(spark, sf, monkeypatch):
-    from catalogloom.llm import coded
+def test_small_tables_and_blocks_give_the_same_pieces(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     whole = {(r.doc_id, bytes(r.ids)) for r in pieces.encode(docs, MODEL).collect()}
-    monkeypatch.setattr(coded, "BLOCK_UNITS", 500)
-    assert {(r.doc_id, bytes(r.ids)) for r in pieces.encode(docs, MODEL).collect()} == whole
+    sp = pieces.processor(MODEL)
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    table = pieces.word_table(sp)
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    assert {(i, np.array([1], "<u4").tobytes() + table.ids([t])[0] + np.array([2], "<u4").tobytes()) for i, t in rows} == whole
+
+
+def test_ranks_and_whole_tokenizer_agree_on_parts():
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.encode_special_tokens = True
+    side, other = alignment.byte_level(BYTES), alignment.sentence_pieces(MODEL)
+    sp = pieces.processor(MODEL)
+    for t in ODD:
+        if t:
+            parts = alignment.parts_of(t)
+            assert side.ids(parts)[0].tolist() == tokenizer.encode(" " + t, add_special_tokens=False).ids, t
+            assert other.ids(parts)[0].tolist() == sp.encode(t), t
+    every = sorted({p for t in ODD for p in alignment.parts_of(t)}, key=hash)
+    for one in (side, other):
+        ids, count = one.ids(every)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [list(one.encode(p)) for p in every]
+
+
+def test_small_blocks_give_the_same_alignment(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    whole = Counter(alignment.aligned(docs, BYTES, MODEL, carry=["doc_id"]).collect())
+    monkeypatch.setattr(alignment, "BLOCK_PARTS", 500)
+    assert Counter(alignment.aligned(docs.repartition(3), BYTES, MODEL, carry=["doc_id"]).collect()) == whole
 
 
 def test_other_models_are_encoded_whole(monkeypatch, spark, frame):
