@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scale import first_by, running_totals, top_n
 from ..functions.urls import listing_url
-from ..operators import catalog, incremental
+from ..operators import blocks, catalog, incremental
 from ..operators.nodes import page_nodes, page_text
 from ..sources import feed, files, state
 from . import derived
@@ -183,6 +183,31 @@ def win4(t: Tables):
         F.count_if(F.col("event_type") == "purchase").alias("purchases"))
 
 
+@query("win4_numbered_blocks", """
+with recursive e as (select user_id % 7 as visitor, event_id, row_number() over (partition by user_id % 7 order by ts, event_id) as rn,
+    case when event_type = 'signup' and event_id % 5 = 0 then 'h' when event_type in ('purchase', 'click') then 'n'
+      when event_type = 'error' and event_id % 400 = 0 then 'o' else 'b' end as kind,
+    (event_id % 11 = 0)::int + (event_id % 37 = 0)::int as opens, (event_id % 11 = 5)::int as closes from events),
+run as (select visitor, 0::bigint as rn, 0 as phase, 0 as depth, null::bigint as event_id, false as shown from (select distinct visitor from e) v
+  union all
+  select e.visitor, e.rn, case when depth > 0 then phase when kind = 'h' then greatest(phase, 1) when kind = 'n' and phase = 1 then 2
+      when kind = 'o' and phase = 2 then 3 else phase end,
+    case when depth > 0 then greatest(0, depth + opens - closes) when kind = 'n' and opens > 0 then greatest(0, opens - closes) else 0 end,
+    e.event_id, depth = 0 and kind = 'n' and phase in (1, 2)
+  from run join e on e.visitor = run.visitor and e.rn = run.rn + 1)
+select visitor, event_id, event_id * 10 as number from run where shown""")
+def win4_blocks(t: Tables):
+    """The block of each group of visitors: an early signup opens it, an error closes it, some events hide what follows."""
+    key, kind = F.col("event_id"), F.col("event_type")
+    rows = t.events.select((F.col("user_id") % 7).alias("visitor"), "event_id", "ts", "event_type")
+    flag = lambda c: c.cast("int")
+    heading, entry = (kind == "signup") & (key % 5 == 0), kind.isin("purchase", "click")
+    other = (kind == "error") & (key % 400 == 0)
+    found = blocks.scan_blocks(rows, ["visitor"], [F.col("ts"), key], heading, F.when(entry, key * 10),
+                               flag(key % 11 == 0) + flag(key % 37 == 0), flag(key % 11 == 5), ~heading & ~entry & ~other)
+    return found.select("visitor", "event_id", "number")
+
+
 @query("win5_best_part_per_brand", """
 select p_brand, p_partkey, p_size, cast(round(p_retailprice * 100) as bigint) as cents from part
 qualify row_number() over (partition by p_brand order by p_size desc, p_retailprice desc, p_partkey) = 1""")
