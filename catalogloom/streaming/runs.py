@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.incremental import apply_changes
-from ..sources.state import is_committed, load_state, save_state
+from ..sources.state import is_committed, save_state, update_state
 
 
 def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
@@ -79,23 +79,24 @@ def stream_changes(df: DataFrame, state_path: str, checkpoint: str, schema: str,
         spark = batch.sparkSession
         if is_committed(spark, state_path, f"batch-{batch_id}"):
             return
-        catalog = load_state(spark, state_path, schema)
-        merged = apply_changes(catalog, batch.where(~F.col("gone")), batch.where("gone"), keys, order, values)
-        save_state(merged, state_path, f"batch-{batch_id}")
+        update_state(spark, state_path, f"batch-{batch_id}", schema, lambda catalog: apply_changes(
+            catalog, batch.where(~F.col("gone")), batch.where("gone"), keys, order, values))
 
     run_available(df, checkpoint, handle)
 
 
 def commit_after_publish(spark: SparkSession, run_id: str, publish: Callable[[], None], next_state: DataFrame,
-                         state_path: str, advance: bool = True) -> bool:
+                         state_path: str, advance: bool = True, base: int | None = None) -> bool:
     """STR7 for a batch run: output first, state last.
 
     A run that is already committed is not repeated; one that must not advance
-    publishes and leaves the state as it was.
+    publishes and leaves the state as it was. ``base`` is the version that
+    ``next_state`` was made from; if another run has moved on from it, the
+    commit fails loudly and the run is repeated from the newer state.
     """
     if is_committed(spark, state_path, run_id):
         return False
     publish()
     if advance:
-        save_state(next_state, state_path, run_id)
+        save_state(next_state, state_path, run_id, base)
     return advance

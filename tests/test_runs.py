@@ -199,11 +199,26 @@ def test_one_record_per_item(spark, children):
     assert flat.where("ord = id + 1").count() == children
 
 
-def test_two_writers_of_one_version_keep_their_own_rows(spark):
-    from catalogloom.sources import state
+def test_two_writers_from_one_version(spark):
+    """Runs b1 and a9 both start from version 1: one commits, the other fails loudly or applies its change to the winner's state."""
     path = scratch_dir(spark, "writers")
-    state.save_state(spark.range(1), path, "a")
-    spark.range(2).write.parquet(state._folder(path, "b"))
-    spark.createDataFrame([(1, "b")], "version bigint, run_id string").write.mode("append").parquet(f"{path}/commits")
-    assert state.load_state(spark, path, "id bigint").count() == 2
-    assert spark.read.parquet(state._folder(path, "a")).count() == 1
+    schema = "id bigint, by string"
+    row = lambda i, by: spark.createDataFrame([(i, by)], schema)
+    assert state.save_state(row(0, "start"), path, "start") == 1
+    stored, base = state.load_version(spark, path, schema)
+    assert base == 1
+    assert state.save_state(stored.union(row(1, "b1")), path, "b1", base) == 2
+    with pytest.raises(state.StateConflict):
+        state.save_state(stored.union(row(9, "a9")), path, "a9", base)
+    assert not state.is_committed(spark, path, "a9") and state.is_committed(spark, path, "b1")
+    assert {r.by for r in state.load_state(spark, path, schema).collect()} == {"start", "b1"}
+    seen = []
+
+    def change(found):
+        if not seen:  # another run commits while this one works
+            state.update_state(spark, path, "c3", schema, lambda x: x.union(row(3, "c3")))
+        seen.append(1)
+        return found.union(row(9, "a9"))
+    assert state.update_state(spark, path, "a9", schema, change) == 4 and len(seen) == 2
+    assert {r.by for r in state.load_state(spark, path, schema).collect()} == {"start", "b1", "c3", "a9"}
+    assert state.is_committed(spark, path, "a9")
