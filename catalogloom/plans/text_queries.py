@@ -202,6 +202,41 @@ def cln6(t: Tables):
     return titles.clean_titles(items).select("item", "title")
 
 
+@query("cln6_healed_titles", r"""
+with d as (select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as t from documents where text is not null),
+b as (select doc_id, trim(substr(t, 3, 24)) as body, t from d),
+s as (select *, trim(regexp_replace(case doc_id % 3 when 0 then t when 1 then 'No. ' || doc_id || ': ' || substr(body, 1, 3) || '- ' || substr(body, 4, 5) || ' . ' || substr(body, 9) || ' (end)'
+    else replace(body, ' ', ', ') || ' / ' || doc_id end, '\s+', ' ', 'g')) as subject from b),
+c as (select *, [i for i in range(1, length(subject) + 1) if regexp_matches(subject[i], '[\p{L}\p{N}]')] as place,
+  lower(regexp_replace(subject, '[^\p{L}\p{N}]', '', 'g')) as skeleton, lower(regexp_replace(body, '[^\p{L}\p{N}]', '', 'g')) as key from s),
+f as (select *, case when length(key) >= 4 then strpos(skeleton, key) else 0 end as hit from c),
+w as (select *, place[hit] as first, place[hit + length(key) - 1] as last from f)
+select doc_id, md5(case when hit > 0 and length(subject[first:last]) - length(replace(subject[first:last], ' ', '')) > length(body) - length(replace(body, ' ', ''))
+  then trim(regexp_replace(subject[1:first - 1] || body || subject[last + 1:], '\s+', ' ', 'g')) else subject end) as digest from w""")
+def cln6_healed(t: Tables):
+    """Whole texts, and broken spellings of a piece of each text, as subjects; the piece is the body title."""
+    text = squeeze(F.col("text"))
+    d = t.documents.where(F.col("text").isNotNull()).select("doc_id", text.alias("t")).withColumn("body", F.trim(F.substring("t", 3, 24)))
+    b, key = F.col("body"), F.col("doc_id")
+    broken = _cat("No. ", _s(key), ": ", F.substring(b, 1, 3), "- ", F.substring(b, 4, 5), " . ", F.substring(b, 9, 99), " (end)")
+    subject = F.when(key % 3 == 0, F.col("t")).when(key % 3 == 1, broken).otherwise(_cat(F.replace(b, F.lit(" "), F.lit(", ")), " / ", _s(key)))
+    return d.select("doc_id", F.md5(titles.heal_soft_breaks(subject, b).cast("binary")).alias("digest"))
+
+
+@query("cln6_final_titles", _NAME_SQL + """
+, f as (select p_partkey, p_name, p_type, p_size, p_partkey % 6 as shape from n)
+select p_partkey as item, case shape when 0 then p_name when 1 then p_name when 2 then 'Ёлки ' || p_size || '0 ' || p_name when 3 then p_name
+  when 4 then p_name || ' [' || upper(p_type) || '!]' else p_name end as title from f""")
+def cln6_final(t: Tables):
+    """Series and body run together, with zeros and a letter folded or not; confirmed and unconfirmed suffixes."""
+    key, name = F.col("p_partkey"), F.col("p_name")
+    title = _pick(key, [_cat("Ёлки 0", _s("p_size"), " ", name), _cat("ЕЛКИ 000", _s("p_size"), " - ", name), _cat("Ёлки ", _s("p_size"), "0 ", name),
+                        _cat(name, " [", F.upper("p_type"), "]"), _cat(name, " [", F.upper("p_type"), "!]"), _cat(name, " [", F.col("b"), " ", F.col("a"), "]")])
+    named = _names(t).select(key.alias("item"), titles.final_title(
+        title, F.array(_cat(F.col("a"), " ", F.col("b"))), F.array("p_type"), _cat("Елки ", _s("p_size")), name).alias("title"))
+    return named
+
+
 @query("jn6_fuzzy_author_prefix", _NAME_SQL + """
 select p_partkey as item, p_partkey % 5 <> 4 as named from n""")
 def jn6(t: Tables):
