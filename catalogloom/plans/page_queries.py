@@ -298,12 +298,13 @@ def ext8(t: Tables):
 @query("ext8_marked_section", r"""
 with n as (select doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) as no, unnest(string_split(text, chr(10))) as raw from documents),
 l as (select doc_id, no, """ + _CLEAN.format("raw") + r""" as line from n)
-select doc_id, substr(string_agg(line, ' ' order by no), 1, 10000) as section from l
-where line <> '' and no > 1 and no < 6 group by doc_id""")
+select doc_id, coalesce(substr(string_agg(line, ' ' order by no) filter (line <> ''), 1, 10000), '') as section from l group by doc_id""")
 def ext8_section(t: Tables):
-    lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "raw"))
-    text = F.when(F.col("no") == 0, F.lit("Описание  книги")).when(F.col("no") == 5, F.lit("подробная информация")).otherwise(F.col("raw"))
-    return fields.extract_sections(lines.withColumn("text", text), key="doc_id", order="no")
+    """Whole texts behind a start marker; every second one has an end marker and a note after it, the others end with the page."""
+    end = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("подробная информация"), F.lit("примечание"))).otherwise(F.array().cast("array<string>"))
+    lines = F.concat(F.array(F.lit("вступление"), F.lit("Описание  книги")), F.split("text", "\n"), end)
+    marked = t.documents.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(lines).alias("no", "text"))
+    return fields.extract_sections(marked, key="doc_id", order="no")
 
 
 @query("ext9_cover_per_page", """
@@ -328,12 +329,12 @@ with e as (select p_partkey as page_id, p_size, p_name, unnest(range(0, 3 + p_si
 
 @query("ext10_series_lists", _LIST_SQL + """
 select page_id, (i + 1)::int as position, 'Tome of ' || p_name || ' ' || (i + 1) as raw_title,
-  case when i = 1 and p_size % 2 = 0 then 'viewtopic.php?t=' || (page_id * 100 + i) end as href from e""")
+  case when i = 1 and p_size % 2 = 0 then 'viewtopic.php?t=' || (page_id * 100 + i) end as href, p_size % 3 = 0 as spoiler from e""")
 def ext10(t: Tables):
     pages = derived.post_pages(t.part)
     items = t.part.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("Saga "), "p_type").alias("series_name"))
     found = series.extract_series_list(nodes.page_nodes(pages, keep=True), items)
-    return found.select("page_id", F.col("position").cast("int").alias("position"), "raw_title", "href").distinct()
+    return found.select("page_id", F.col("position").cast("int").alias("position"), "raw_title", "href", (F.col("ord.src") == 1).alias("spoiler"))
 
 
 @query("jn8_linked_entries", _LIST_SQL + """
