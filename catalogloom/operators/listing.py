@@ -15,7 +15,11 @@ from ..functions.text import squeeze
 from ..functions.urls import absolute, path
 from ..session import durable
 from .links import classify_links, derive_keys, is_good_label
-from .nodes import TEXT, attr, has_class, in_page_order, mark_owner
+from .nodes import TEXT, Scope, attr, has_class, in_page_order, mark_owner, with_scopes
+
+
+#: The owner that listing pages are read by.
+LINK = Scope("_link", ("a",), attr="href")
 
 
 def listing_segments(nodes: DataFrame, pages: DataFrame, allowed_hosts: Sequence[str] = ()) -> DataFrame:
@@ -26,7 +30,7 @@ def listing_segments(nodes: DataFrame, pages: DataFrame, allowed_hosts: Sequence
     nodes: a link with its texts is one row, every other text is a row.
     """
     is_link = (F.col("tag") == "a") & attr("href").isNotNull()
-    linked = mark_owner(nodes.where(is_link | (F.col("tag") == TEXT)), is_link, "_link")
+    linked = with_scopes(nodes, [LINK]).where(is_link | (F.col("tag") == TEXT))
     piece = F.when(F.col("tag") == TEXT, F.nullif(squeeze("text"), F.lit("")))
     units = linked.withColumn("_piece", piece).groupBy(
         "page_id", F.coalesce("_link", "seq").alias("seq")).agg(
@@ -88,25 +92,32 @@ def child_index(nodes: DataFrame, name: str = "child") -> DataFrame:
 
 def extract_table_rows(nodes: DataFrame, row_scope: Column, cells: Mapping[str, Column],
                        attributes: Mapping[str, tuple[str, str]] | None = None,
-                       required: Sequence[str] = ()) -> DataFrame:
+                       required: Sequence[str] = (), flags: Mapping[str, Column] | None = None) -> DataFrame:
     """Rows of a listing table.
 
     ``cells`` names element predicates; each yields the text of its first
     element inside the row. ``attributes`` maps an output column to (cell,
-    attribute). Rows lacking a ``required`` cell are dropped.
+    attribute). Rows lacking a ``required`` cell are dropped. ``flags`` tells
+    whether any node of the row passes a predicate, in a cell or not.
     """
     kind = F.coalesce(*[F.when(pred, F.lit(name)) for name, pred in cells.items()])
     tagged = nodes.withColumn("_kind", kind)
     owned = mark_owner(tagged, row_scope, "row").where(F.col("row").isNotNull())
-    owned = mark_owner(owned, F.col("_kind").isNotNull(), "_cell").where(F.col("_cell").isNotNull())
-    texts = owned.withColumn("_piece", F.when(F.col("tag") == TEXT, F.nullif(squeeze("text"), F.lit("")))) \
+    owned = mark_owner(owned, F.col("_kind").isNotNull(), "_cell")
+    seen = {f"_flag_{name}": F.coalesce(pred, F.lit(False)) for name, pred in (flags or {}).items()}
+    worth = F.lit(False)
+    for pred in seen.values():
+        worth = worth | pred
+    texts = owned.where(F.col("_cell").isNotNull() | worth).withColumn(
+        "_piece", F.when((F.col("tag") == TEXT) & F.col("_cell").isNotNull(), F.nullif(squeeze("text"), F.lit("")))) \
         .groupBy("page_id", "row", "_cell").agg(
             ordered_text("_piece", "seq").alias("value"), F.min_by("_kind", "seq").alias("_kind"),
-            F.min_by("attrs", "seq").alias("_attrs"))
+            F.min_by("attrs", "seq").alias("_attrs"), *[F.bool_or(pred).alias(name) for name, pred in seen.items()])
     outputs = [F.min_by(F.coalesce(squeeze("value"), F.lit("")), F.when(F.col("_kind") == name, F.col("_cell")))
                .alias(name) for name in cells]
     outputs += [F.min_by(F.col("_attrs")[a], F.when(F.col("_kind") == cell, F.col("_cell"))).alias(out)
                 for out, (cell, a) in (attributes or {}).items()]
+    outputs += [F.bool_or(f"_flag_{name}").alias(name) for name in flags or {}]
     rows = texts.groupBy("page_id", "row").agg(*outputs)
     for name in required:
         rows = rows.where(F.col(name).isNotNull())
@@ -129,10 +140,9 @@ def search_rows(nodes: DataFrame) -> DataFrame:
     row = F.col("tag") == "tr"
     rows = extract_table_rows(
         numbered, row, {"title": has_class("tLink"), "size": has_class("tor-size"), "seeds": column(7), "leeches": column(8)},
-        {"href": ("title", "href"), "exact_size": ("size", "data-ts_text")}, required=["title"])
-    # The link lies inside the size cell, and an element has one owner.
-    loadable = extract_table_rows(nodes, row, {"download": has_class("tr-dl")}, required=["download"])
-    return rows.join(loadable.select("page_id", "row"), ["page_id", "row"], "left_semi").withColumn(
+        {"href": ("title", "href"), "exact_size": ("size", "data-ts_text")}, required=["title"],
+        flags={"download": has_class("tr-dl")})
+    return rows.where("download").drop("download").withColumn(
         "size", F.coalesce(F.nullif("exact_size", F.lit("")), "size"))
 
 

@@ -7,8 +7,11 @@ windows and aggregates below reuse that exchange.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import partial
 from html.parser import HTMLParser
+from itertools import compress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,28 +33,69 @@ _ARROW = pa.schema([
     ("parent_seq", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string())])
 
 
+@dataclass(frozen=True)
+class Scope:
+    """Elements that own what is inside them, told by tag, class or attribute.
+
+    Only the outermost such element counts: inside another scope if ``inside``
+    names one, and only as a child of that scope's element if ``child_of`` does.
+    The tokenizer knows the open scopes at each node, so a node carries its
+    owner (``seq`` of that element, null without one) in a column of this name.
+    """
+
+    name: str
+    tags: tuple[str, ...] = ()
+    cls: str = ""
+    attr: str = ""
+    inside: str = ""
+    child_of: str = ""
+
+    def column(self) -> Column:
+        """The same test on a node table."""
+        test = F.col("tag").isin(*self.tags) if self.tags else ~F.col("tag").startswith("#")
+        test = test & has_class(self.cls) if self.cls else test
+        test = test & attr(self.attr).isNotNull() if self.attr else test
+        test = test & F.col(self.inside).isNotNull() if self.inside else test
+        return test & (F.col("parent_seq") == F.col(self.child_of)) if self.child_of else test
+
+
 class _Flattener(HTMLParser):
     """Pre-order numbering of one page; an end tag closes to its nearest opener."""
 
-    def __init__(self):
+    def __init__(self, scopes: Sequence[Scope] = ()):
         super().__init__(convert_charrefs=True)
         self.tags, self.attrs, self.texts = [], [], []
-        self.ends, self.depths, self.parents, self.open = [], [], [], []
+        self.ends, self.depths, self.parents, self.open, self.owners = [], [], [], [], []
+        self.scopes, self.place = scopes, {s.name: i for i, s in enumerate(scopes)}
+        self.now: tuple[int | None, ...] = (None,) * len(scopes)
+
+    def _owned(self, tag: str, attrs: dict[str, str], seq: int, parent: int) -> tuple[int | None, ...]:
+        """The owners of a new element."""
+        now = list(self.now)
+        for i, s in enumerate(self.scopes):
+            if (now[i] is None and (not s.tags or tag in s.tags) and (not s.cls or s.cls in attrs.get("class", "").split())
+                    and (not s.attr or s.attr in attrs) and (not s.inside or now[self.place[s.inside]] is not None)
+                    and (not s.child_of or now[self.place[s.child_of]] == parent)):
+                now[i] = seq
+        return tuple(now)
 
     def _add(self, tag, attrs, text):
+        parent = self.open[-1][1] if self.open else 0
         self.tags.append(tag)
         self.attrs.append(attrs)
         self.texts.append(text)
         self.ends.append(len(self.tags))
         self.depths.append(len(self.open))
-        self.parents.append(self.open[-1][1] if self.open else 0)
+        self.parents.append(parent)
+        self.owners.append(self._owned(tag, dict(attrs), len(self.tags), parent) if self.scopes and attrs is not None else self.now)
 
     def handle_starttag(self, tag, attrs):
         if tag == "wbr":
             return
         self._add(tag, list({k: v or "" for k, v in attrs}.items()), None)
         if tag not in _VOID:
-            self.open.append((tag, len(self.tags)))
+            self.open.append((tag, len(self.tags), self.now))
+            self.now = self.owners[-1]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -73,8 +117,10 @@ class _Flattener(HTMLParser):
             self._add(kind, None, data)
 
     def _close(self, at: int):
-        for _, seq in self.open[at:]:
+        for _, seq, _ in self.open[at:]:
             self.ends[seq - 1] = len(self.tags)
+        if at < len(self.open):
+            self.now = self.open[at][2]
         del self.open[at:]
 
     def finish(self):
@@ -83,25 +129,33 @@ class _Flattener(HTMLParser):
         return self
 
 
-def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns: list[list] = [[] for _ in _ARROW]
+def _flatten(batches: Iterator[pa.RecordBatch], scopes: Sequence[Scope], within: str,
+             wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([*_ARROW, *[(s.name, pa.int32()) for s in scopes]])
+    columns: list[list] = [[] for _ in schema]
+    inside = next((i for i, s in enumerate(scopes) if s.name == within), None)
 
     def flush() -> pa.RecordBatch:
         out = pa.RecordBatch.from_arrays(
-            [pa.array(values, type=field.type) for values, field in zip(columns, _ARROW)], schema=_ARROW)
+            [pa.array(values, type=field.type) for values, field in zip(columns, schema)], schema=schema)
         for values in columns:
             values.clear()
         return out
 
     for batch in batches:
         for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            page = _Flattener()
+            page = _Flattener(scopes)
             page.feed(html or "")
             page.finish()
             size = len(page.tags)
-            for values, more in zip(columns, (
-                    [page_id] * size, range(1, size + 1), page.ends, page.depths, page.parents,
-                    page.tags, page.attrs, page.texts)):
+            if wanted is not None:
+                page.attrs = [x and [p for p in x if p[0] in wanted] for x in page.attrs]
+            made = [[page_id] * size, range(1, size + 1), page.ends, page.depths, page.parents, page.tags, page.attrs, page.texts]
+            made += zip(*page.owners) if size else []
+            if inside is not None:
+                keep = [owners[inside] is not None for owners in page.owners]
+                made = [list(compress(values, keep)) for values in made]
+            for values, more in zip(columns, made):
                 values.extend(more)
             if len(columns[0]) >= _FLUSH_ROWS:
                 yield flush()
@@ -109,16 +163,30 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def page_nodes(pages: DataFrame, keep: bool = False) -> DataFrame:
+def page_nodes(pages: DataFrame, keep: bool = False, scopes: Sequence[Scope] = (), within: str = "",
+               attrs: Sequence[str] | None = None) -> DataFrame:
     """``(page_id, html)`` to the node table, hash-partitioned by page.
 
-    ``keep`` writes it to reliable checkpoint storage: set it when several
-    operators read the same nodes, so that pages are tokenized once.
+    ``scopes`` adds a column of owners for each. ``within`` keeps only the nodes
+    inside the scope of that name, and ``attrs`` only the attributes so named,
+    so that what nobody reads is not shuffled. ``keep`` writes the table to
+    reliable checkpoint storage: set it when several operators read the same
+    nodes, so that pages are tokenized once.
     """
-    found = pages.select("page_id", "html").mapInArrow(_flatten, NODE_SCHEMA).repartition("page_id")
+    schema = NODE_SCHEMA + "".join(f", {s.name} int" for s in scopes)
+    work = partial(_flatten, scopes=tuple(scopes), within=within, wanted=None if attrs is None else frozenset(attrs))
+    found = pages.select("page_id", "html").mapInArrow(work, schema).repartition("page_id")
     return durable(found) if keep else found
 
 
+def with_scopes(nodes: DataFrame, scopes: Sequence[Scope]) -> DataFrame:
+    """Nodes with the owner columns of all scopes; those that the tokenizer did not give are found by windows."""
+    for s in scopes:
+        if s.name not in nodes.columns:
+            nodes = mark_owner(nodes, s.column(), s.name)
+    return nodes
+
+
 def in_page_order() -> Window:
     return (Window.partitionBy("page_id").orderBy("seq")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

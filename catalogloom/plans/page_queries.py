@@ -190,7 +190,8 @@ cards as (select p_partkey as page_id, (p_partkey * 10 + i)::varchar as external
 @query("ext5_listing_cards", _CARDS_SQL + "select page_id, external_id, title, duration_seconds, series_id, series_name from cards")
 def ext5(t: Tables):
     pages = derived.card_pages(t.part)
-    segments = listing.listing_segments(nodes.page_nodes(pages), pages, ["example.org"])
+    tree = nodes.page_nodes(pages, scopes=[listing.LINK], attrs=["href"])
+    segments = listing.listing_segments(tree, pages, ["example.org"])
     return listing.listing_cards(segments).select("page_id", "external_id", "title", "duration_seconds", "series_id", "series_name")
 
 
@@ -201,7 +202,7 @@ union all select page_id, external_id, 'genre', 1, genre from cards
 union all select page_id, external_id, 'series', 1, series_name from cards""")
 def ext5_labels(t: Tables):
     pages = derived.card_pages(t.part)
-    cards, labels = listing.segment_listing(nodes.page_nodes(pages), pages, ["example.org"])
+    cards, labels = listing.segment_listing(nodes.page_nodes(pages, scopes=[listing.LINK], attrs=["href"]), pages, ["example.org"])
     return cards.select("page_id", "card", "external_id").join(labels, ["page_id", "card"]).select(
         "page_id", "external_id", "kind", "rank", "label")
 
@@ -267,8 +268,7 @@ with f as (select p_partkey as page_id, p_size, p_name, p_type, unnest(['author'
 
 @query("ext7_labelled_fields", _POST_SQL + "select page_id, field, value, true as present from f")
 def ext7(t: Tables):
-    tree = nodes.page_nodes(derived.post_pages(t.part))
-    post = nodes.inside(tree, nodes.has_class("post_body"))
+    post = nodes.page_nodes(derived.post_pages(t.part), scopes=fields.POST_SCOPES, within="_post", attrs=["class"])
     found = fields.extract_fields(fields.labelled_segments(post), labels=_FIELDS)
     return found.select("page_id", "field", F.coalesce("value", F.lit("")).alias("value"), "present")
 
@@ -333,7 +333,7 @@ select page_id, (i + 1)::int as position, 'Tome of ' || p_name || ' ' || (i + 1)
 def ext10(t: Tables):
     pages = derived.post_pages(t.part)
     items = t.part.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("Saga "), "p_type").alias("series_name"))
-    found = series.extract_series_list(nodes.page_nodes(pages, keep=True), items)
+    found = series.extract_series_list(series.series_nodes(pages), items)
     return found.select("page_id", F.col("position").cast("int").alias("position"), "raw_title", "href", (F.col("ord.src") == 1).alias("spoiler"))
 
 
@@ -346,7 +346,7 @@ select page_id, (i + 1)::int as position, 'Tome of ' || p_name || ' ' || (i + 1)
 from k join part on p_partkey = page_id""".replace("select *, i = 1", "select e.*, i = 1").replace("k join part on p_partkey = page_id", "k join (select p_partkey, p_type from part) q on q.p_partkey = page_id"))
 def jn8(t: Tables):
     pages = derived.post_pages(t.part)
-    return series.series_entries(nodes.page_nodes(pages, keep=True), _post_items(t)).select(
+    return series.series_entries(series.series_nodes(pages), _post_items(t)).select(
         "page_id", F.col("position").cast("int").alias("position"), "title", "entry_id", "matched_by")
 
 
@@ -363,7 +363,7 @@ def _post_items(t: Tables):
 def jn8_backfill(t: Tables):
     pages = derived.post_pages(t.part)
     items = _post_items(t)
-    entries = series.series_entries(nodes.page_nodes(pages, keep=True), items)
+    entries = series.series_entries(series.series_nodes(pages), items)
     blank = items.withColumn("series_position", F.lit(None).cast("int"))
     return series.backfill_positions(blank, entries).select("page_id", F.col("series_position").cast("int").alias("series_position"))
 

@@ -1,5 +1,7 @@
 """Page fixtures: nodes, cards, tables, fields, images, series lists, parts."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from catalogloom.operators import catalog, fields, images, links, listing, nodes, series
@@ -128,3 +130,27 @@ def test_manifest_keeps_source_index(spark):
     assert sorted((r.file_index, r.path, r.size_bytes, r.media_type) for r in rows.collect()) == [
         (0, "a.mp3", 5, "audio"), (2, "d/b.txt", 0, "other")]
     assert manifest.first().total_size_bytes == 5
+
+
+def test_scopes_of_the_tokenizer_equal_owner_windows(spark):
+    """Owners from the tokenizer and from windows are the same on tangled markup; ``within`` and ``attrs`` only leave things out."""
+    rng = random.Random(3)
+    tags = ["div", "ol", "ul", "li", "span", "a", "br", "p"]
+    classes = ["", "post_body", "sp-wrap", "sp-head", "sp-body", "post-b"]
+
+    def piece():
+        tag = rng.choice(tags)
+        return rng.choice([f'<{tag} class="{rng.choice(classes)} x" href="h">', f"<{tag}>", f"</{tag}>", f"</{tag}>", "text ", "<br/>"])
+    spoiler = '<div class="post_body"><div class="sp-wrap"><div class="sp-head">a</div><div class="sp-body">'
+    html = [(i, spoiler * (i % 2) + "".join(piece() for _ in range(rng.randint(5, 120)))) for i in range(60)] + [(100, ""), (101, None)]
+    df = spark.createDataFrame(html, "page_id long, html string")
+    scopes = [*series.SERIES_SCOPES, listing.LINK]
+    names = [s.name for s in scopes]
+    plain = nodes.with_scopes(nodes.page_nodes(df), scopes).select("page_id", "seq", *names)
+    scoped = nodes.page_nodes(df, scopes=scopes)
+    want = sorted(plain.collect(), key=lambda r: (r.page_id, r.seq))
+    assert sorted(scoped.select("page_id", "seq", *names).collect(), key=lambda r: (r.page_id, r.seq)) == want
+    assert any(r._li for r in want) and any(r._body_list for r in want)
+    pruned = nodes.page_nodes(df, scopes=scopes, within="_post", attrs=["class"]).collect()
+    assert sorted((r.page_id, r.seq) for r in pruned) == [(r.page_id, r.seq) for r in want if r._post]
+    assert all(set(r.attrs or {}) <= {"class"} for r in pruned)
