@@ -193,3 +193,43 @@ def file_lists(part: DataFrame) -> DataFrame:
     return spread(part, "p_partkey").select(
         key.alias("item"), F.substring(F.sha1(_s(key).cast("binary")), 1, 40).alias("content_key"),
         (key % 5000).cast("int").alias("duration_seconds"), F.concat(extra, tracks).alias("files"))
+
+
+def whole_posts(part: DataFrame) -> DataFrame:
+    """Posts of six shapes: release brackets and a series hint among genres; surname and given name without a
+    description; an undisclosed author; a sermon; people named by the subject alone; a reader in the title and a
+    numbered list of entries."""
+    key, size, k = F.col("p_partkey"), F.col("p_size"), _s("p_partkey")
+    shape = key % 6
+    book, saga = _cat("Повесть ", k, " ", F.col("p_name")), _cat("Сага ", F.col("p_type"))
+    field = lambda label, value: _cat('<span class="post-b">', label, "</span>: ", value, "<br>")
+    choose = lambda values: F.element_at(F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]), (shape + 1).cast("int"))
+    subject = choose([
+        _cat("Анна Лугова - ", book, " [проза] [Max Stone, 2010, MP3, 128 kbps]"), book, _cat("Бренд - Аудиокнига «", book, "»"),
+        "Аудиопроповеди пастора Петра Зимина", _cat("Олег Туров - ", book, " [Max Stone, Olga Fox, 2011, MP3, 96 kbps]"),
+        _cat(book, ". Чтец Max Stone")])
+    reader = field("Исполнитель", F.lit("Ада Орлова"))
+    about = field("Описание", _cat("About ", k))
+    head = choose([
+        _cat(field("Автор", F.lit("Анна Лугова")), field("Жанр", _cat("аудиокнига, проза; серия: ", saga)), field("Исполнитель", F.lit("Max Stone")),
+             field("Номер книги", _s(size % 3 + 1)), about),
+        _cat(field("Фамилия автора", F.lit("Лугова")), field("Имя автора", F.lit("Анна")), reader),
+        _cat("автор неизвестен<br>", reader, about), _cat("краткая биография: Пётр Зимин, проповедник<br>", about),
+        _cat(field("Название", book), about),
+        _cat(field("Автор", F.lit("Анна Лугова")), field("Цикл/серия", saga), reader, about)])
+    time = F.when(shape == 1, F.lit("")).otherwise(field("Время звучания", clock(key % 30000)))
+    entries = F.when(shape == 5, _cat("<br>Книги цикла «", saga, "»<br>1. Начало ", k, "<br>2. ", book, "<br>3. Конец ", k, "<br>прочее<br>")).otherwise("")
+    image = _cat('<img src="/smiles/x.gif"><var class="postImg img-right" title="', POST_HOST, "/v/", k, '.jpg"></var>')
+    return spread(part, "p_partkey").select(
+        key.alias("page_id"), _cat(POST_HOST, "/forum/viewtopic.php?t=", k).alias("url"),
+        _cat('<html><body><h1 class="maintitle"><a>', subject, '</a></h1><div class="post_body">', head, time, "<hr>", image, entries,
+             "</div></body></html>").alias("html"))
+
+
+def post_media(part: DataFrame) -> DataFrame:
+    """File lists of posts: tracks, for every third size a scan instead, and none for sizes divisible by 7."""
+    size = F.col("p_size")
+    scan = F.array(F.struct(F.lit("scan.jpg").alias("path"), F.lit("7").alias("length")))
+    lists = file_lists(part).join(part.select(F.col("p_partkey").alias("item"), "p_size"), "item")
+    return lists.select(F.col("item").alias("page_id"), "content_key", F.col("content_key").alias("actual_key"), F.when(
+        size % 7 == 0, F.lit(None)).when(size % 3 == 0, scan).otherwise(F.col("files")).alias("files"))
