@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scale import chunk_between, order_borders
 from ..operators import incremental, nodes
-from ..session import scratch_dir
+from ..session import durable, scratch_dir
 from ..sources import feed, state
 from ..streaming import runs
 from . import specs
@@ -80,21 +82,21 @@ def str1(t: Tables):
     return t.spark.read.parquet(f"{root}/links").select("page_id", "pos", "href", "url")
 
 
-def _event_stream(t: Tables, files: int):
-    """The events as a stream of several files, in id order, one file per micro-batch."""
-    root = scratch_dir(t.spark, "events-in")
-    t.events.repartitionByRange(files, "event_id").write.parquet(root)
-    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(root)
+def _delivered(rows: DataFrame, order: Column, folder: str, run) -> None:
+    """Three deliveries of rows in order; after each one arrives, a scheduled run takes all its files as one micro-batch."""
+    dealt = durable(rows.withColumn("_delivery", chunk_between(F.struct(order.alias("_0")), order_borders(rows, [order], 3))))
+    for day in range(4):  # three borders may leave rows on both sides
+        dealt.where(F.col("_delivery") == day).drop("_delivery").write.mode("append").parquet(folder)
+        run(rows.sparkSession.readStream.schema(rows.schema).parquet(folder))
 
 
 @query("str4_streamed_confirmations", """
 select user_id, count(*) as successes, count(*) >= 13 as confirmed from events where event_type = 'purchase' group by 1""")
 def str4_stream(t: Tables):
     root = scratch_dir(t.spark, "confirm")
-    bought = _event_stream(t, 3).where(F.col("event_type") == "purchase")
-    counted = runs.stream_confirmations(bought, "user_id", "bigint", 13)
-    counted.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").format("parquet").start(
-        f"{root}/out").awaitTermination()
+    bought = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id")
+    _delivered(bought, F.col("event_id"), f"{root}/in", lambda stream: runs.stream_confirmations(
+        stream, "user_id", 13, f"{root}/out", f"{root}/checkpoint"))
     log = t.spark.read.schema("user_id bigint, successes bigint, status string").parquet(f"{root}/out")
     return log.groupBy("user_id").agg(F.max("successes").alias("successes"), F.bool_or(F.col("status") == "confirmed").alias("confirmed"))
 
@@ -103,25 +105,22 @@ def str4_stream(t: Tables):
 def str5_stream(t: Tables):
     root = scratch_dir(t.spark, "changes")
     state.save_state(stored_catalog(t), f"{root}/state", "start")
-    source = Tables(t.spark, t.dir)
-    stream_in = scratch_dir(t.spark, "deliveries")
-    frame = deliveries(source)
-    frame.repartitionByRange(3, "event_id").write.parquet(stream_in)
-    names = sorted(p for p in t.spark.read.parquet(stream_in).inputFiles())
-    for i, name in enumerate(names):  # one folder per delivery keeps their order
-        t.spark.read.schema(frame.schema).parquet(name).write.parquet(f"{root}/in/day={i}")
-        arrived = t.spark.readStream.schema(frame.schema).parquet(f"{root}/in/*")
-        runs.stream_changes(arrived, f"{root}/state", f"{root}/checkpoint", CATALOG_SCHEMA, ["user_id"], "event_id", ["kind", "cents"])
+    _delivered(deliveries(Tables(t.spark, t.dir)), F.col("event_id"), f"{root}/in", lambda stream: runs.stream_changes(
+        stream, f"{root}/state", f"{root}/checkpoint", CATALOG_SCHEMA, ["user_id"], "event_id", ["kind", "cents"]))
     return incremental.live(state.load_state(t.spark, f"{root}/state", CATALOG_SCHEMA))
 
 
 @query("str6_deduplicated_stream", "select event_id, user_id, event_type from events")
 def str6(t: Tables):
+    """Events in the order of their time, each three times; a key is remembered for an hour of event time."""
     root = scratch_dir(t.spark, "dedupe")
-    doubled = _event_stream(t, 2).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).drop("_copy")
-    unique = runs.dedupe_stream(doubled, ["event_id"], "ts", "400 days").select("event_id", "user_id", "event_type")
-    unique.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").format("parquet").start(
-        f"{root}/out").awaitTermination()
+
+    def run(stream: DataFrame) -> None:
+        doubled = stream.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).drop("_copy")
+        unique = runs.dedupe_stream(doubled, ["event_id"], "ts", "1 hour").select("event_id", "user_id", "event_type")
+        unique.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").format("parquet").start(
+            f"{root}/out").awaitTermination()
+    _delivered(t.events, F.col("ts"), f"{root}/in", run)
     return t.spark.read.parquet(f"{root}/out")
 
 

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.incremental import apply_changes
 from ..sources.state import is_committed, save_state, update_state
 
 
-def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
+def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """One scheduled run: everything that is new, in micro-batches, then stop."""
-    query = (df.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    query = (df.writeStream.trigger(availableNow=True).outputMode(mode).option("checkpointLocation", checkpoint)
              .foreachBatch(handle).start())
     query.awaitTermination()
 
@@ -40,32 +38,29 @@ def dedupe_stream(df: DataFrame, keys: list[str], event_time: str, horizon: str)
     return timed.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_confirmations(df: DataFrame, key: str, key_type: str, n: int) -> DataFrame:
-    """STR4: running success count per key with its status, kept in state.
+def stream_confirmations(df: DataFrame, key: str, n: int, path: str, checkpoint: str) -> None:
+    """STR4: the running success count of every key a batch touches, with its status, published per batch.
 
-    Each batch yields one row per touched key. State is a single number. Rows
-    are combined per Arrow batch before the shuffle, so a hot key sends counts
-    to its task, not its rows.
+    Counts are a streaming aggregate: partial counts combine before the shuffle
+    and the state is one number a key. A key is ``confirmed`` in the batch that
+    brings it to ``n`` and ``known`` once an earlier batch has published that. A
+    replayed batch overwrites its own folder and looks at earlier ones only.
     """
-    partial = f"{key} {key_type}, successes bigint"
+    counts = df.groupBy(key).agg(F.count("*").alias("successes"))
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby(key, as_index=False).size().rename(columns={"size": "successes"})
-
-    output = f"{key} {key_type}, successes bigint, status string"
-
-    def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else 0
-        before = seen
-        for batch in batches:
-            seen += int(batch["successes"].sum())
-        state.update((seen,))
-        status = "known" if before >= n else "confirmed" if seen >= n else "replay_pending"
-        yield pd.DataFrame({key: [group[0]], "successes": [seen], "status": [status]})
-
-    return df.select(key).mapInPandas(combine, partial).groupBy(key).applyInPandasWithState(
-        count, output, "successes bigint", "append", GroupStateTimeout.NoTimeout)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        log = batch.withColumn("status", F.lit("replay_pending"))
+        if batch_id:
+            log_schema = f"{log.schema[key].simpleString().replace(':', ' ', 1)}, successes bigint, status string, batch_id bigint"
+            earlier = spark.read.schema(log_schema).parquet(path).where(
+                (F.col("batch_id") < batch_id) & (F.col("status") == "confirmed")).select(key).distinct().withColumn("_known", F.lit(True))
+            log = batch.join(earlier, key, "left")
+        known = F.coalesce(F.col("_known"), F.lit(False)) if batch_id else F.lit(False)
+        log.select(key, "successes", F.when(known, "known").when(F.col("successes") >= n, "confirmed").otherwise(
+            "replay_pending").alias("status")).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    run_available(counts, checkpoint, handle, "update")
 
 
 def stream_changes(df: DataFrame, state_path: str, checkpoint: str, schema: str, keys: list[str], order: str,
